@@ -11,15 +11,20 @@ MIN_DENOMINATOR = 10
 ALPHA = 1.0
 
 
-def ratio(num: Column | str, den: Column | str) -> Column:
-    """num / den, or 0.0 unless the denominator is positive (ANSI mode raises on x/0)."""
+def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
+    """num / den · scale, or 0.0 unless the denominator is positive (ANSI mode raises on x/0).
+
+    Plain column names make one SQL expression: wide feature tables use many ratios, and
+    each Column operation is a round trip from Python to the JVM.
+    """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(f"CASE WHEN `{den}` > 0 THEN double(`{num}`) / `{den}` * {scale}D ELSE 0.0D END")
     num, den = _col(num), _col(den)
-    return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0))
+    return F.when(den > 0, num.cast("double") / den * scale).otherwise(F.lit(0.0))
 
 
 def per_mille(num: Column | str, den: Column | str) -> Column:
-    num, den = _col(num), _col(den)
-    return F.when(den > 0, num.cast("double") / den * 1000).otherwise(F.lit(0.0))
+    return ratio(num, den, 1000.0)
 
 
 def kpi_columns() -> dict[str, Column]:
@@ -43,6 +48,11 @@ def smoothed_rate(
     min_trials: int = MIN_DENOMINATOR,
 ) -> Column:
     """Additive smoothing toward ``prior``; the prior itself below ``min_trials``."""
+    if isinstance(hits, str) and isinstance(trials, str):
+        return F.expr(
+            f"CASE WHEN `{trials}` < {min_trials} THEN {prior}D "
+            f"ELSE (`{hits}` + {alpha * prior}D) / (`{trials}` + {alpha}D) END"
+        )
     hits, trials = _col(hits), _col(trials)
     return F.when(trials < min_trials, F.lit(prior)).otherwise(
         (hits + F.lit(alpha * prior)) / (trials + F.lit(alpha))

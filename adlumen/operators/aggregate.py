@@ -20,7 +20,7 @@ _GRAIN_UNIT = {"hourly": "hour", "daily": "day", "weekly": "week", "monthly": "m
 def metric_aggregates() -> list[Column]:
     """Raw events → the six metrics, by event type."""
     counts = [
-        F.count_if(F.col("event_type") == kind).alias(name) for name, kind in _TYPE_OF_COUNT.items()
+        F.expr(f"count_if(event_type = '{kind}') AS {name}") for name, kind in _TYPE_OF_COUNT.items()
     ]
     return counts + [F.sum("cost").alias("spend"), F.sum("revenue").alias("revenue")]
 
@@ -34,6 +34,11 @@ def count_events(events: DataFrame, *keys: str | Column) -> DataFrame:
     return events.groupBy(*keys).agg(*metric_aggregates())
 
 
+def ad_facts(events: DataFrame) -> DataFrame:
+    """One row per ad over all given events."""
+    return count_events(events, *HIERARCHY)
+
+
 def daily_facts(events: DataFrame) -> DataFrame:
     """One row per ad and day: the leaf every report is built from."""
     return count_events(

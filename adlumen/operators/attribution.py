@@ -8,14 +8,18 @@ A key with a third of all rows is thus spread over as many tasks as it has bucke
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _DAY_MICROS = 86_400_000_000
+_ANONYMOUS_SPLIT = 4096
 
 
 def _touch(kind: str) -> Column:
     return F.when(
-        F.col("event_type") == kind, F.struct("timestamp", "event_id", "ad_id")
+        (F.col("event_type") == kind) & F.col("known"), F.struct("timestamp", "event_id", "ad_id")
     )
 
 
@@ -28,17 +32,16 @@ def attribute_conversions(
     """Latest click and impression at or before each conversion, within the window.
 
     Credit goes to the click; without one, to the impression (view-through). A conversion
-    with an unknown key is returned without credit and stays out of the windows, so
-    anonymous traffic forms no group.
+    with an unknown key is returned without credit; such rows are spread by a salt, so
+    anonymous traffic forms no large group.
     """
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    relevant = events.where(F.col("event_type").isin("impression", "click", "conversion"))
-    rows = relevant.where(known).select(
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    salt = F.when(known, F.lit(0)).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(_ANONYMOUS_SPLIT)))
+    rows = events.where(F.col("event_type").isin("impression", "click", "conversion")).select(
         "event_id", "event_type", "timestamp", "ad_id", "revenue",
         *[k for k in keys if k != "ad_id"],
-        F.floor(F.unix_micros("timestamp") / F.lit(bucket_seconds * 1_000_000)).alias("bucket"),
+        F.floor(F.unix_seconds("timestamp") / bucket_seconds).alias("bucket"),
+        salt.alias("salt"), known.alias("known"),
     )
 
     def latest(carried: str, here: str) -> Column:
@@ -49,7 +52,7 @@ def attribute_conversions(
 
     earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, "bucket")
+        rows.where("known").groupBy(*keys, "bucket")
         .agg(F.max(_touch("click")).alias("c"), F.max(_touch("impression")).alias("i"),
              F.count_if(F.col("event_type") == "conversion").alias("conversions"))
         .withColumns({"carried_click": F.max("c").over(earlier),
@@ -59,7 +62,7 @@ def attribute_conversions(
     )
     # a RANGE frame, so touches at the very moment of the conversion count
     inside = (
-        Window.partitionBy(*keys, "bucket").orderBy("timestamp")
+        Window.partitionBy(*keys, "bucket", "salt").orderBy("timestamp")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     conversions = (
@@ -72,16 +75,7 @@ def attribute_conversions(
         "view": latest("carried_view", "view_here"),
     })
     credited = F.coalesce("click", "view")
-    anonymous = relevant.where((F.col("event_type") == "conversion") & ~known)
-    touch = "struct<timestamp: timestamp, event_id: {}, ad_id: {}>".format(
-        *(events.schema[c].dataType.simpleString() for c in ("event_id", "ad_id"))
-    )
-    columns = ["event_id", *keys, "timestamp", "revenue", "click", "view"]
-    both = joined.select(*columns).unionByName(
-        anonymous.withColumns({t: F.lit(None).cast(touch) for t in ("click", "view")})
-        .select(*columns)
-    )
-    return both.select(
+    return joined.select(
         F.col("event_id").alias("conversion_id"),
         *keys,
         F.col("timestamp").alias("conversion_ts"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 256
+BUCKETS = 128
 
 
 def _bucket_of(value: Column, cuts: Column) -> Column:
@@ -98,7 +98,10 @@ def global_position(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFram
     """Adds ``position`` (0-based) in the order of ``key``, a unique numeric column."""
     cuts = df.agg(_cut_points(F.col(key), buckets))
     # one row holding at most `buckets` numbers
-    placed = df.withColumn("_bucket", _bucket_of(F.col(key), cuts.scalar()))
+    placed = (
+        df.withColumn("_cuts", cuts.scalar())
+        .withColumn("_bucket", _bucket_of(F.col(key), F.col("_cuts"))).drop("_cuts")
+    )
     in_order = Window.orderBy("_bucket")  # at most `buckets` rows
     offsets = placed.groupBy("_bucket").agg(F.count("*").alias("_rows")).select(
         "_bucket", (F.sum("_rows").over(in_order) - F.col("_rows")).alias("_before")

@@ -69,7 +69,8 @@ class Criteria:
 
 def tag_segments(df, segments: dict[str, Criteria], id_column: str = "user_id"):
     """(user, segment) rows for every segment a user matches; one pass over the input."""
-    matched = F.array_compact(F.array(*[
-        F.when(criteria.column(), F.lit(name)) for name, criteria in segments.items()
-    ]))
+    matched = F.array_remove(F.array(*[
+        F.when(criteria.column(), F.lit(name)).otherwise(F.lit(""))
+        for name, criteria in segments.items()
+    ]), "")
     return df.select(id_column, F.explode(matched).alias("segment_id"))

@@ -37,26 +37,24 @@ def window_counts(
     ).where((F.col("hours_ago") > 0) & (F.col("hours_ago") <= max(WINDOWS)))
 
     def total(metric: str, hours: int) -> Column:
-        inside = F.when(F.col("hours_ago") <= hours, F.col(metric)).otherwise(F.lit(0))
-        return F.sum(inside).alias(f"{metric}_{hours}h")
+        return F.expr(f"sum(if(hours_ago <= {hours}, {metric}, 0)) AS {metric}_{hours}h")
 
-    age = F.col("hours_ago") - 1
-    shown, clicked = F.col("impressions") > 0, F.col("clicks") > 0
+    age = F.expr("hours_ago - 1")
     decayed = {
-        "ctr_decayed": F.when(shown, ratio("clicks", "impressions")),
-        "cvr_decayed": F.when(clicked, ratio("conversions", "clicks")),
-        "ecpm_decayed": F.when(shown, per_mille("revenue", "impressions")),
+        "ctr_decayed": "if(impressions > 0, double(clicks) / impressions, NULL)",
+        "cvr_decayed": "if(clicks > 0, double(conversions) / clicks, NULL)",
+        "ecpm_decayed": "if(impressions > 0, double(revenue) / impressions * 1000, NULL)",
     }
     return rows.groupBy(*keys, "anchor").agg(
         *[total(m, h) for m in ("impressions", "clicks", "conversions") for h in WINDOWS],
         *[total(m, h) for m in ("revenue", "spend") for h in (1, 24)],
-        *[decayed_mean(rate, age, half_life_hours).alias(n) for n, rate in decayed.items()],
+        *[decayed_mean(F.expr(rate), age, half_life_hours).alias(n) for n, rate in decayed.items()],
     )
 
 
 def with_rates(counts: DataFrame, smoothed: bool = True, **smoothing) -> DataFrame:
-    ctr = {h: (F.col(f"clicks_{h}h"), F.col(f"impressions_{h}h")) for h in WINDOWS}
-    cvr = {h: (F.col(f"conversions_{h}h"), F.col(f"clicks_{h}h")) for h in WINDOWS}
+    ctr = {h: (f"clicks_{h}h", f"impressions_{h}h") for h in WINDOWS}
+    cvr = {h: (f"conversions_{h}h", f"clicks_{h}h") for h in WINDOWS}
     if smoothed:
         rates = {f"ctr_{h}h": smoothed_ctr(*v, **smoothing) for h, v in ctr.items()} | {
             f"cvr_{h}h": smoothed_cvr(*v, **smoothing) for h, v in cvr.items()}
@@ -85,8 +83,8 @@ def with_budget(counts: DataFrame, bids: DataFrame, order: Column) -> DataFrame:
 def feature_vector(features: DataFrame, *ids: str) -> DataFrame:
     """The 16 model inputs in fixed order, as an array and as a map."""
     logs = {f"{m}_24h_log": F.log1p(f"{m}_24h") for m in ("impressions", "clicks", "conversions")}
-    values = F.array(*[F.col(n).cast("double") for n in FEATURE_NAMES])
-    names = F.array(*[F.lit(n) for n in FEATURE_NAMES])
+    values = F.expr(f"array({', '.join(f'double({n})' for n in FEATURE_NAMES)})")
+    names = F.lit(list(FEATURE_NAMES))
     return features.withColumns(logs).select(
         *ids, names.alias("feature_names"), values.alias("feature_values"),
         F.map_from_arrays(names, values).alias("features"),

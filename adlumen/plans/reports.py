@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from adlumen.operators import aggregate as agg
 from adlumen.operators.ranks import batches
@@ -63,36 +63,39 @@ def report_documents(facts: DataFrame, ads_per_document: int = ADS_PER_DOCUMENT)
     documents (``part`` of ``parts``) that together list every ad; the totals in each are
     those of the whole entity.
     """
-    metrics = [F.col(m) for m in METRICS]
     ads = facts.groupBy(*HIERARCHY).agg(*agg.metric_sums())
-
-    def level(keys: tuple[str, ...], counted: bool = False) -> DataFrame:
-        extra = [F.count("*").alias("_ads")] if counted else []
-        return agg.with_kpis(ads.groupBy(*keys).agg(*extra, *agg.metric_sums()))
-
-    def entity(id_column: str, *children: str | Column) -> Column:
-        return F.struct(id_column, *METRICS, *_KPIS, *children)
-
-    advertisers = level(HIERARCHY[:1], counted=True).withColumn(
-        "parts", F.ceil(F.col("_ads") / ads_per_document)
+    totals = agg.with_kpis(
+        ads.groupBy("advertiser_id").agg(F.count("*").alias("_ads"), *agg.metric_sums())
+    ).select(
+        "advertiser_id", F.struct(*METRICS, *_KPIS).alias("total_metrics"),
+        F.ceil(F.col("_ads") / ads_per_document).alias("parts"),
     )
-    sliced = agg.with_kpis(ads).join(
-        advertisers.select("advertiser_id", "parts"), "advertiser_id"
-    ).withColumn("part", F.pmod(F.xxhash64("ad_id"), "parts"))
-
-    nested = sliced.select(*HIERARCHY, "part", entity("ad_id").alias("item"))
-    for depth, child in ((3, "ad_metrics"), (2, "adset_metrics")):
+    sliced = ads.join(totals, "advertiser_id").withColumn(
+        "part", F.pmod(F.xxhash64("ad_id"), "parts")
+    )
+    header = ("parts", "total_metrics")
+    nested = agg.with_kpis(sliced).select(
+        *HIERARCHY, "part", *header, *METRICS, F.struct("ad_id", *METRICS, *_KPIS).alias("item")
+    )
+    for depth, children in ((3, "ad_metrics"), (2, "adset_metrics")):
         keys = HIERARCHY[:depth]
-        inner = nested.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("item")).alias(child))
-        nested = inner.join(level(keys), list(keys)).select(
-            *keys, "part", entity(keys[-1], child).alias("item")
+        # at most `parts` rows per entity
+        across_parts = Window.partitionBy(*keys)
+        gathered = nested.groupBy(*keys, "part").agg(
+            *[F.any_value(c).alias(c) for c in header],
+            *[F.sum(m).alias(f"_{m}") for m in METRICS],
+            F.sort_array(F.collect_list("item")).alias(children),
         )
-    documents = nested.groupBy("advertiser_id", "part").agg(
-        F.sort_array(F.collect_list("item")).alias("campaign_metrics")
-    )
-    return documents.join(advertisers, "advertiser_id").select(
-        "advertiser_id", "part", "parts", "campaign_metrics",
-        F.struct(*metrics, *_KPIS).alias("total_metrics"),
+        entities = agg.with_kpis(
+            gathered.withColumns({m: F.sum(f"_{m}").over(across_parts) for m in METRICS})
+        )
+        nested = entities.select(
+            *keys, "part", *header, *[F.col(f"_{m}").alias(m) for m in METRICS],
+            F.struct(keys[-1], *METRICS, *_KPIS, children).alias("item"),
+        )
+    return nested.groupBy("advertiser_id", "part").agg(
+        *[F.any_value(c).alias(c) for c in header],
+        F.sort_array(F.collect_list("item")).alias("campaign_metrics"),
     )
 
 

@@ -108,13 +108,13 @@ def with_rfm(features: DataFrame, cuts: DataFrame, separate_cant_lose: bool = Fa
     limits = F.map_from_entries(F.collect_list(F.struct(
         F.concat("metric", F.lit("@"), F.col("probability").cast("string")).alias("k"), "value"
     )))
-    lookup = cuts.agg(limits.alias("limits")).scalar()
+    bounded = features.withColumn("_limits", cuts.agg(limits.alias("limits")).scalar())
     metrics = rfm_metrics()
 
     def limit(metric: str) -> list[Column]:
-        return [F.try_element_at(lookup, F.lit(f"{metric}@{p}")) for p in QUINTILES]
+        return [F.try_element_at("_limits", F.lit(f"{metric}@{p}")) for p in QUINTILES]
 
-    scored = features.withColumns({
+    scored = bounded.withColumns({
         "recency_score": rfm.descending_score(metrics["recency"], limit("recency")),
         "frequency_score": rfm.ascending_score(metrics["frequency"], limit("frequency")),
         "monetary_score": rfm.ascending_score(metrics["monetary"], limit("monetary")),
@@ -124,7 +124,7 @@ def with_rfm(features: DataFrame, cuts: DataFrame, separate_cant_lose: bool = Fa
         "rfm_score": rfm.rfm_code(r, f, m),
         "rfm_total": r + f + m,
         "tier": rfm.rfm_tier(r, f, m, separate_cant_lose),
-    })
+    }).drop("_limits")
 
 
 def segment_sizes(tiers: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from adlumen.queries import quality, ranking, reports, segments, storage, streams
+from adlumen.queries.common import decimal_round
 
 _MODULES = (reports, ranking, segments, quality, storage, streams)
 
@@ -12,4 +13,4 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {name: sql for m in _MODULES for name, sql in m.SQL.items()}
+    return {name: decimal_round(sql) for m in _MODULES for name, sql in m.SQL.items()}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlumen.session import pin_utc
 
-DIGITS = 6
+DIGITS, EXTRA = 6, 3
 #: Day after which no event of the log lies within the last 7 days, so that the 7-, 30-
 #: and 90-day windows all differ.
 USER_REFERENCE = dt.date(2024, 2, 10)
@@ -17,25 +18,53 @@ FILE_REFERENCE = dt.datetime(2001, 8, 10)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Sums of doubles depend on row order; compare them to a fixed number of digits."""
-    return df.select(*[
-        (F.round(f.name, digits) + F.lit(0.0)).alias(f.name)
-        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+    """Half-up to a fixed number of digits.
+
+    The last bits of a sum depend on row order. A first, finer rounding removes them, so
+    that a value halfway between two results goes the same way in any engine.
+    """
+    return df.selectExpr(*[
+        f"round(round(`{f.name}`, {digits + EXTRA}), {digits}) + 0.0D AS `{f.name}`"
+        if f.dataType.typeName() in ("double", "float") else f"`{f.name}`"
         for f in df.schema.fields
     ])
 
 
+def decimal_round(sql: str) -> str:
+    """Read ``round(x, n)`` in a query as decimal half-up rounding, like :func:`rounded`."""
+    out, at = [], 0
+    for found in re.finditer(r"\bround\(", sql):
+        if found.start() < at:
+            raise ValueError("nested round")
+        depth, end = 1, found.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        value, digits = sql[found.end():end - 1].rsplit(",", 1)
+        out += [sql[at:found.start()],
+                f"CAST(round(CAST({value} AS DECIMAL(38, {int(digits) + EXTRA})),{digits}) AS DOUBLE)"]
+        at = end
+    return "".join([*out, sql[at:]])
+
+
 def joined(array: str | Column) -> Column:
     return F.array_join(F.array_sort(array), ",")
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    return df.selectExpr(*[
+        f"cast(`{f.name}` AS string) AS `{f.name}`" if f.dataType.typeName() == "date" else f"`{f.name}`"
+        for f in df.schema.fields
+    ])
+
+
 def query(registry: dict) -> Callable:
     """Register a function under its own name, with UTC pinned for the session."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             pin_utc(spark)
-            return fn(spark, folder.rstrip("/"))
+            return _dates_as_text(fn(spark, folder.rstrip("/")))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         registry[fn.__name__] = run

@@ -278,7 +278,7 @@ def run_ledger(spark, folder):
 
 
 SQL["run_ledger"] = f"""WITH {AD}
-SELECT 'partitioning' AS run_type, DATE '2024-01-30' AS run_date, 'complete' AS status,
+SELECT 'partitioning' AS run_type, '2024-01-30' AS run_date, 'complete' AS status,
   unnest(['rows', 'clicks']) AS metric,
   unnest([CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (event_type = 'click') AS DOUBLE)]) AS value FROM ad"""
 
@@ -295,6 +295,6 @@ def ledger_gauge_names(spark, folder):
 
 
 SQL["ledger_gauge_names"] = f"""WITH {AD}
-SELECT 'partitioning' AS run_type, DATE '2024-01-30' AS run_date,
+SELECT 'partitioning' AS run_type, '2024-01-30' AS run_date,
   'rows.job_daily.type_' || event_type AS gauge, CAST(count(*) AS DOUBLE) AS value
 FROM ad GROUP BY event_type"""

@@ -89,7 +89,7 @@ def window_counts(spark, folder):
 
 
 SQL["window_counts"] = f"""WITH {_windows_sql('ad_id')}
-SELECT ad_id, CAST(anchor AS DATE) AS anchor, {', '.join(_COUNT_COLUMNS)},
+SELECT ad_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, {', '.join(_COUNT_COLUMNS)},
        {_select({m: m for m in _MONEY_COLUMNS})} FROM cnt"""
 
 
@@ -100,7 +100,7 @@ def decayed_metrics(spark, folder):
 
 
 SQL["decayed_metrics"] = f"""WITH {_windows_sql('advertiser_id')}
-SELECT advertiser_id, CAST(anchor AS DATE) AS anchor,
+SELECT advertiser_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor,
        {_select({n: n for n in ('ctr_decayed', 'cvr_decayed', 'ecpm_decayed')})} FROM dec"""
 
 
@@ -111,7 +111,7 @@ def smoothed_rates(spark, folder):
 
 
 SQL["smoothed_rates"] = f"""WITH {_windows_sql('advertiser_id')}
-SELECT advertiser_id, CAST(anchor AS DATE) AS anchor, {_select(_RATES)} FROM cnt"""
+SELECT advertiser_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, {_select(_RATES)} FROM cnt"""
 
 
 @query(QUERIES)
@@ -121,7 +121,7 @@ def raw_rates(spark, folder):
 
 
 SQL["raw_rates"] = f"""WITH {_windows_sql('advertiser_id')}
-SELECT advertiser_id, CAST(anchor AS DATE) AS anchor, {_select(_RAW_RATES)} FROM cnt"""
+SELECT advertiser_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, {_select(_RAW_RATES)} FROM cnt"""
 
 
 @query(QUERIES)
@@ -174,7 +174,7 @@ def budget_features(spark, folder):
 
 
 SQL["budget_features"] = f"""WITH {_BUDGET_SQL}
-SELECT ad_id, CAST(anchor AS DATE) AS anchor, round(spend_24h, 6) AS spend_24h,
+SELECT ad_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, round(spend_24h, 6) AS spend_24h,
        round(budget_remaining, 6) AS budget_remaining,
        round(budget_utilization, 6) AS budget_utilization, round(pacing_factor, 6) AS pacing_factor
 FROM feat"""
@@ -199,7 +199,7 @@ def _all_features_sql():
 
 SQL["feature_vector"] = f"""WITH {_BUDGET_SQL},
 f AS (SELECT ad_id, anchor, {_all_features_sql()} FROM feat)
-SELECT ad_id, CAST(anchor AS DATE) AS anchor, feature, round(value, 6) AS value, 'v1' AS version FROM f"""
+SELECT ad_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, feature, round(value, 6) AS value, 'v1' AS version FROM f"""
 
 
 @query(QUERIES)
@@ -217,7 +217,7 @@ a AS (SELECT *, concat_ws(',',
    CASE WHEN ctr_24h > 0.5 THEN 'ctr_24h_above_half' END,
    CASE WHEN cvr_24h > 1.0 THEN 'cvr_24h_above_one' END,
    CASE WHEN ecpm_24h > 100 THEN 'ecpm_24h_above_100' END) AS anomalies FROM r)
-SELECT ad_id, CAST(anchor AS DATE) AS anchor, round(ctr_24h, 6) AS ctr_24h, round(cvr_24h, 6) AS cvr_24h,
+SELECT ad_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, round(ctr_24h, 6) AS ctr_24h, round(cvr_24h, 6) AS cvr_24h,
        round(ecpm_24h, 6) AS ecpm_24h, anomalies FROM a WHERE anomalies <> ''"""
 
 

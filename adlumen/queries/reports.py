@@ -51,10 +51,19 @@ c AS (SELECT campaign_id, first(p_name ORDER BY report_date, adset_id, ad_id) AS
 SELECT campaign_id, campaign_name, advertiser_id, {METRICS_OUT} FROM c"""
 
 
+def _marked(rollup):
+    """Ids as text, a star where a level is rolled up."""
+    return rounded(rollup.withColumns(
+        {c: F.coalesce(F.col(c).cast("string"), F.lit("*")) for c in HIERARCHY}))
+
+
+_IDS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '*') AS {c}" for c in HIERARCHY)
+
+
 @query(QUERIES)
 def hierarchy_rollup(spark, folder):
-    facts = agg.daily_facts(log.ad_events(spark, folder))
-    return rounded(agg.with_kpis(agg.hierarchy_rollup(facts)))
+    facts = agg.ad_facts(log.ad_events(spark, folder))
+    return _marked(agg.with_kpis(agg.hierarchy_rollup(facts)))
 
 
 _LEVEL = """CASE WHEN grouping(advertiser_id) = 1 THEN 'total' WHEN grouping(campaign_id) = 1 THEN 'advertiser'
@@ -63,24 +72,24 @@ _LEVEL = """CASE WHEN grouping(advertiser_id) = 1 THEN 'total' WHEN grouping(cam
 SQL["hierarchy_rollup"] = f"""WITH {AD},
 r AS (SELECT advertiser_id, campaign_id, adset_id, ad_id, {_LEVEL}, {COUNTS}
       FROM ad GROUP BY ROLLUP (advertiser_id, campaign_id, adset_id, ad_id))
-SELECT advertiser_id, campaign_id, adset_id, ad_id, level, {METRICS_OUT}, {KPIS_OUT} FROM r"""
+SELECT {_IDS}, level, {METRICS_OUT}, {KPIS_OUT} FROM r"""
 
 
 @query(QUERIES)
 def daily_hierarchy_rollup(spark, folder):
     facts = agg.daily_facts(log.ad_events(spark, folder))
-    return rounded(agg.hierarchy_rollup(facts, "report_date"))
+    return _marked(agg.hierarchy_rollup(facts, "report_date"))
 
 
 SQL["daily_hierarchy_rollup"] = f"""WITH {FACTS},
 r AS (SELECT report_date, advertiser_id, campaign_id, adset_id, ad_id, {_LEVEL}, {SUMS}
       FROM facts GROUP BY report_date, ROLLUP (advertiser_id, campaign_id, adset_id, ad_id))
-SELECT report_date, advertiser_id, campaign_id, adset_id, ad_id, level, {METRICS_OUT} FROM r"""
+SELECT CAST(report_date AS VARCHAR) AS report_date, {_IDS}, level, {METRICS_OUT} FROM r"""
 
 
 @query(QUERIES)
 def advertiser_totals(spark, folder):
-    facts = agg.daily_facts(log.ad_events(spark, folder))
+    facts = agg.ad_facts(log.ad_events(spark, folder))
     return rounded(agg.with_kpis(plan.advertiser_totals(facts)))
 
 
@@ -110,7 +119,7 @@ v AS (SELECT *, concat_ws(',',
         CASE WHEN campaign_count = 0 THEN 'no_campaigns' END) AS errors,
       CASE WHEN impressions > 0 AND clicks > impressions * 0.5 THEN 'ctr_above_limit' ELSE '' END AS warnings
       FROM a)
-SELECT report_date, advertiser_id, campaign_count, impressions, clicks, conversions,
+SELECT CAST(report_date AS VARCHAR) AS report_date, advertiser_id, campaign_count, impressions, clicks, conversions,
        round(spend, 6) AS spend, errors, warnings, errors = '' AS is_valid FROM v"""
 
 
@@ -158,7 +167,8 @@ def report_periods(spark, folder):
 
 
 SQL["report_periods"] = f"""WITH {AD}
-SELECT campaign_id, min(CAST(ts AS DATE)) AS start_date, max(CAST(ts AS DATE)) AS end_date,
+SELECT campaign_id, CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS start_date,
+       CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS end_date,
        CAST(max(CAST(ts AS DATE)) - min(CAST(ts AS DATE)) + 1 AS BIGINT) AS days
 FROM ad GROUP BY campaign_id"""
 
@@ -169,7 +179,8 @@ def period_comparison(spark, folder):
         log.ad_events(spark, folder), "campaign_id", F.to_date("timestamp").alias("report_date")
     )
     return rounded(compare_periods(
-        daily.select("campaign_id", "report_date", "impressions", "spend", "revenue"),
+        daily.select("campaign_id", "report_date", F.col("impressions").cast("double").alias("impressions"),
+                     "spend", "revenue"),
         ["campaign_id"], "report_date", ["impressions", "spend", "revenue"],
     ))
 
@@ -178,8 +189,7 @@ _POP = ", ".join(
     f"{e.format(m=m)} AS {n.format(m=m)}"
     for m in ("impressions", "spend", "revenue")
     for e, n in [
-        ("prev_{m}" if m == "impressions" else "round(prev_{m}, 6)", "prev_{m}"),
-        ("{m} - prev_{m}" if m == "impressions" else "round({m} - prev_{m}, 6)", "{m}_change"),
+        ("round(prev_{m}, 6)", "prev_{m}"), ("round({m} - prev_{m}, 6)", "{m}_change"),
         ("round(" + sql_ratio("({m} - prev_{m})", "prev_{m}") + ", 6)", "{m}_change_pct"),
     ]
 )
@@ -188,13 +198,13 @@ d AS (SELECT campaign_id, CAST(ts AS DATE) AS report_date, {COUNTS} FROM ad GROU
 w AS (SELECT *, lag(impressions) OVER p AS prev_impressions, lag(spend) OVER p AS prev_spend,
        lag(revenue) OVER p AS prev_revenue
       FROM d WINDOW p AS (PARTITION BY campaign_id ORDER BY report_date))
-SELECT campaign_id, report_date, impressions, round(spend, 6) AS spend, round(revenue, 6) AS revenue,
+SELECT campaign_id, CAST(report_date AS VARCHAR) AS report_date, CAST(impressions AS DOUBLE) AS impressions, round(spend, 6) AS spend, round(revenue, 6) AS revenue,
        {_POP} FROM w"""
 
 
 @query(QUERIES)
 def top_ads(spark, folder):
-    return rounded(plan.top_ads(agg.daily_facts(log.ad_events(spark, folder)), k=3))
+    return rounded(plan.top_ads(agg.ad_facts(log.ad_events(spark, folder)), k=3))
 
 
 SQL["top_ads"] = f"""WITH {AD},
@@ -207,7 +217,7 @@ SELECT advertiser_id, ad_id, {METRICS_OUT}, {KPIS_OUT}, CAST(rank AS INTEGER) AS
 @query(QUERIES)
 def nested_report(spark, folder):
     """Nested documents, unfolded again: an ad row with the totals of all its ancestors."""
-    documents = plan.report_documents(agg.daily_facts(log.ad_events(spark, folder)))
+    documents = plan.report_documents(agg.ad_facts(log.ad_events(spark, folder)))
     campaigns = documents.select(
         "advertiser_id", "total_metrics", F.explode("campaign_metrics").alias("c"))
     adsets = campaigns.select("*", F.explode("c.adset_metrics").alias("s"))
@@ -263,7 +273,7 @@ def upsert_latest(spark, folder):
 
 
 SQL["upsert_latest"] = f"""WITH {FACTS}
-SELECT report_date, advertiser_id, campaign_id, adset_id, ad_id, impressions, clicks, conversions,
+SELECT CAST(report_date AS VARCHAR) AS report_date, advertiser_id, campaign_id, adset_id, ad_id, impressions, clicks, conversions,
        views, round(spend, 6) AS spend,
        round(CASE WHEN report_date >= DATE '2024-01-15' THEN revenue * 1.1 ELSE revenue END, 6) AS revenue,
        CAST(CASE WHEN report_date >= DATE '2024-01-15' THEN 2 ELSE 1 END AS INTEGER) AS version
@@ -314,8 +324,9 @@ def _attribution(spark, folder, keys):
     out = attribute_conversions(log.ad_events(spark, folder), keys)
     return rounded(out.select(
         "conversion_id", *keys,
-        *[F.unix_micros(c).alias(c) for c in ("conversion_ts", "click_ts", "impression_ts")],
-        "credited_ad_id", "is_view_through", "revenue",
+        *[F.coalesce(F.unix_micros(c), F.lit(-1)).alias(c)
+          for c in ("conversion_ts", "click_ts", "impression_ts")],
+        F.coalesce("credited_ad_id", F.lit(-1)).alias("credited_ad_id"), "is_view_through", "revenue",
     ))
 
 
@@ -332,8 +343,8 @@ def _attribution_sql(keys):
     cols = ", ".join(f"v.{k}" for k in keys)
     return f"""WITH {AD}, {touch('click', 'click')}, {touch('view', 'impression')}
 SELECT v.event_id AS conversion_id, {cols}, epoch_us(v.ts) AS conversion_ts,
-       epoch_us(click_ts) AS click_ts, epoch_us(view_ts) AS impression_ts,
-       coalesce(click_ad, view_ad) AS credited_ad_id,
+       coalesce(epoch_us(click_ts), -1) AS click_ts, coalesce(epoch_us(view_ts), -1) AS impression_ts,
+       coalesce(click_ad, view_ad, -1) AS credited_ad_id,
        click_ts IS NULL AND view_ts IS NOT NULL AS is_view_through, round(v.revenue, 6) AS revenue
 FROM ad v LEFT JOIN click ON click.id = v.event_id LEFT JOIN view ON view.id = v.event_id
 WHERE v.event_type = 'conversion'"""

@@ -325,6 +325,6 @@ def rebuild_mode(spark, folder):
 
 
 SQL["rebuild_mode"] = """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS run_date FROM events)
-SELECT run_date, CASE WHEN isodow(run_date) = 1 THEN 'full' ELSE 'incremental' END AS mode,
-       CAST(run_date - CAST(CASE WHEN isodow(run_date) = 1 THEN 90 ELSE 7 END AS INTEGER) AS DATE) AS start_date
+SELECT CAST(run_date AS VARCHAR) AS run_date, CASE WHEN isodow(run_date) = 1 THEN 'full' ELSE 'incremental' END AS mode,
+       CAST(run_date - CAST(CASE WHEN isodow(run_date) = 1 THEN 90 ELSE 7 END AS INTEGER) AS VARCHAR) AS start_date
 FROM d"""

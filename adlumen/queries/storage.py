@@ -89,31 +89,34 @@ SELECT prefix, 's3://lake/events/' || prefix || '/' AS uri, count(*) AS rows FRO
 
 @query(QUERIES)
 def repartition_verified(spark, folder):
-    """Events written as a partitioned table and read back, counted on both sides."""
-    events = log.ad_events(spark, folder)
+    """Events written as a table partitioned by day and type, counted on both sides.
+
+    The log has few rows per hour; the hourly layout would cost one file for each.
+    """
+    levels = ["year", "month", "day", "event_type"]
+    events = ingest.with_levels(log.ad_events(spark, folder))
     root = shared_dir(spark, "events")
-    tables.write_events(events, root)
-    written = spark.read.parquet(root)
-    return joins.compare_counts(ingest.with_levels(events), written, _LEVELS)
+    tables.write_partitioned(events, root, levels)
+    return joins.compare_counts(events, spark.read.parquet(root), levels)
 
 
 SQL["repartition_verified"] = f"""WITH {AD}
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
-  CAST(hour(ts) AS INTEGER) AS hour, event_type, count(*) AS input_rows, count(*) AS output_rows, true AS verified
+  event_type, count(*) AS input_rows, count(*) AS output_rows, true AS verified
 FROM ad GROUP BY ALL"""
 
 
 @query(QUERIES)
 def partition_stats(spark, folder):
     sizes = inventory.partition_sizes(log.stored_files(spark, folder))
-    return rounded(sizes.withColumn("last_modified", F.unix_micros("last_modified")))
+    return rounded(sizes.withColumn("last_modified", F.unix_micros("last_modified")), 2)
 
 
 _STATS = """stats AS (SELECT prefix, count(*) AS file_count, CAST(sum(size) AS BIGINT) AS total_bytes,
   avg(size) AS avg_bytes, max(modified) AS last_modified FROM files GROUP BY prefix)"""
 SQL["partition_stats"] = f"""WITH {FILES}, {_STATS}
-SELECT prefix, file_count, total_bytes, round(avg_bytes, 6) AS avg_bytes,
-  epoch_us(last_modified) AS last_modified, round(total_bytes / 1048576, 6) AS total_mb FROM stats"""
+SELECT prefix, file_count, total_bytes, round(avg_bytes, 2) AS avg_bytes,
+  epoch_us(last_modified) AS last_modified, round(total_bytes / 1048576, 2) AS total_mb FROM stats"""
 
 
 @query(QUERIES)
@@ -202,7 +205,7 @@ def freshness(spark, folder):
 
 SQL["freshness"] = f"""WITH {FILES}, m AS (SELECT prefix, max(modified) AS lm FROM files GROUP BY prefix)
 SELECT prefix, epoch_us(lm) AS last_modified, round((epoch_us({_REF}) - epoch_us(lm)) / 6e7, 6) AS staleness_minutes,
-  epoch_us({_REF}) - epoch_us(lm) <= 60 * 24 * 400 * 60000000 AS is_fresh FROM m"""
+  epoch_us({_REF}) - epoch_us(lm) <= CAST(60 * 24 * 400 AS BIGINT) * 60000000 AS is_fresh FROM m"""
 
 
 @query(QUERIES)
@@ -316,8 +319,8 @@ def _outcomes(spark, folder):
         F.coalesce("input_rows", F.lit(0)).alias("input_rows"),
         (F.coalesce("input_rows", F.lit(0)) - F.coalesce("duplicates_removed", F.lit(0))).alias("output_rows"),
         F.coalesce("duplicates_removed", F.lit(0)).alias("duplicates_removed"),
-        (F.col("o_totalprice") * 100).cast("long").alias("input_bytes"),
-        (F.coalesce("price", F.lit(0.0)) * 50).cast("long").alias("output_bytes"),
+        F.round(F.col("o_totalprice") * 200).cast("long").alias("input_bytes"),
+        F.round(F.coalesce("price", F.lit(0.0)) * 100).cast("long").alias("output_bytes"),
         F.lit(3).cast("long").alias("input_file_count"))
 
 
@@ -325,8 +328,7 @@ _OUTCOMES = """l AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_return
   sum(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey),
 o AS (SELECT 'p' || o_orderkey AS prefix, o_orderstatus <> 'P' AS success, coalesce(n, 0) AS input_rows,
   coalesce(n, 0) - coalesce(d, 0) AS output_rows, coalesce(d, 0) AS duplicates_removed,
-  CAST(trunc(o_totalprice * 100) AS BIGINT) AS input_bytes,
-  CAST(trunc(coalesce(price, 0) * 50) AS BIGINT) AS output_bytes
+  CAST(o_totalprice * 200 AS BIGINT) AS input_bytes, CAST(coalesce(price, 0) * 100 AS BIGINT) AS output_bytes
   FROM orders LEFT JOIN l ON o_orderkey = l_orderkey),
 v AS (SELECT *, CASE WHEN input_rows > 0 THEN duplicates_removed / CAST(input_rows AS DOUBLE) ELSE 0 END AS dedup_ratio,
   1 - CASE WHEN input_bytes > 0 THEN output_bytes / CAST(input_bytes AS DOUBLE) ELSE 0 END AS compression_ratio FROM o),
@@ -418,7 +420,7 @@ def tier_classification(spark, folder):
 
 
 SQL["tier_classification"] = f"""WITH {_DECISIONS}
-SELECT prefix, file_count, size_bytes, access_count_7d, access_count_30d, partition_date, current_tier,
+SELECT prefix, file_count, size_bytes, access_count_7d, access_count_30d, CAST(partition_date AS VARCHAR) AS partition_date, current_tier,
   CAST(age_days AS BIGINT) AS age_days, target_tier, reason, requires_action, is_downgrade,
   round(CAST(monthly_savings_usd AS DOUBLE), 9) AS monthly_savings_usd FROM dec"""
 

@@ -27,15 +27,16 @@ def _run(spark, stream, purpose, partition_by=None):
 
 @query(QUERIES)
 def stream_ingest(spark, folder):
-    """Stream → Hive-partitioned table; rows per partition."""
-    stream = streaming.to_partitioned_events(_stream(spark, folder))
-    written = _run(spark, stream, "ingest", ["year", "month", "day", "hour", "event_type"])
-    return written.groupBy("year", "month", "day", "hour", "event_type").agg(F.count("*").alias("rows"))
+    """Stream → table partitioned by day and type; rows per partition."""
+    levels = ["year", "month", "day", "event_type"]
+    stream = streaming.to_partitioned_events(_stream(spark, folder), levels)
+    written = _run(spark, stream, "ingest", levels)
+    return written.groupBy(*levels).agg(F.count("*").alias("rows"))
 
 
 SQL["stream_ingest"] = f"""WITH {AD}
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
-  CAST(hour(ts) AS INTEGER) AS hour, event_type, count(*) AS rows FROM ad GROUP BY ALL"""
+  event_type, count(*) AS rows FROM ad GROUP BY ALL"""
 
 
 @query(QUERIES)

@@ -7,7 +7,7 @@ bid-side rows and orders for stored files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlumen.functions import storage as st
 
@@ -21,40 +21,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _event_type(raw: Column) -> Column:
-    mapped = F
-    for source, target in LOG_EVENT_TYPES.items():
-        mapped = mapped.when(raw == source, F.lit(target))
-    return mapped.otherwise(raw)
+_TYPE_SQL = (
+    "CASE event_type "
+    + " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in LOG_EVENT_TYPES.items())
+    + " ELSE event_type END"
+)
 
 
 def ad_columns(log: DataFrame) -> DataFrame:
-    """Log rows (batch or stream) as ad events; unknown types pass through unchanged."""
-    k = F.get_json_object("props", "$.k").cast("long")
-    raw, value = F.col("event_type"), F.col("value")
-    return log.withColumn("_k", k).select(
+    """Log rows (batch or stream) as ad events; unknown types pass through unchanged.
+
+    Event times are stored without a zone and are UTC by convention.
+    """
+    return log.withColumn("_k", F.expr("cast(get_json_object(props, '$.k') AS bigint)")).selectExpr(
         "event_id",
-        _event_type(raw).alias("event_type"),
-        # stored without a zone; UTC by convention
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        f"{_TYPE_SQL} AS event_type",
+        "cast(ts AS timestamp) AS timestamp",
         "user_id",
-        F.col("_k").alias("ad_id"),
-        F.expr("_k div 2").alias("adset_id"),
-        F.expr("_k div 10").alias("campaign_id"),
-        F.expr("_k div 20").alias("advertiser_id"),
-        F.expr("_k % 7").alias("publisher_id"),
-        F.expr("_k % 13").alias("placement_id"),
-        F.element_at(
-            F.array(*[F.lit(d) for d in ("mobile", "desktop", "tablet", "ctv", "smartwatch")]),
-            F.expr("cast(user_id % 5 as int) + 1"),
-        ).alias("device_type"),
-        F.element_at(
-            F.array(F.lit("us"), F.lit("De"), F.lit("FR"), F.lit(None).cast("string")),
-            F.expr("cast(user_id % 4 as int) + 1"),
-        ).alias("country_code"),
-        F.when(raw == "purchase", value).otherwise(0.0).alias("revenue"),
-        F.when(raw.isin("view", "click"), value * 0.01).otherwise(0.0).alias("cost"),
-        F.col("props").alias("metadata"),
+        "_k AS ad_id",
+        "_k div 2 AS adset_id",
+        "_k div 10 AS campaign_id",
+        "_k div 20 AS advertiser_id",
+        "_k % 7 AS publisher_id",
+        "_k % 13 AS placement_id",
+        "element_at(array('mobile', 'desktop', 'tablet', 'ctv', 'smartwatch'),"
+        " cast(user_id % 5 AS int) + 1) AS device_type",
+        "element_at(array('us', 'De', 'FR', NULL), cast(user_id % 4 AS int) + 1) AS country_code",
+        "if(event_type = 'purchase', value, 0.0D) AS revenue",
+        "if(event_type IN ('view', 'click'), value * 0.01D, 0.0D) AS cost",
+        "props AS metadata",
     )
 
 

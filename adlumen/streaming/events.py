@@ -38,9 +38,17 @@ def sliding_counts(
     )
 
 
-def to_partitioned_events(events: DataFrame) -> DataFrame:
-    """Adds the partition columns of the processed event table."""
-    return events.withColumns(st.partition_columns(F.col("timestamp")))
+def to_partitioned_events(
+    events: DataFrame, layout: list[str] = EVENT_LAYOUT, files_per_partition: int = 1
+) -> DataFrame:
+    """Adds the partition columns and gathers each partition's rows of a micro-batch.
+
+    Without the shuffle every task would open a file in every partition. A stream with
+    one dominant partition raises ``files_per_partition`` to spread it over tasks.
+    """
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_partition))
+    levels = events.withColumns(st.partition_columns(F.col("timestamp")))
+    return levels.repartition(*layout, salt)
 
 
 def write_stream(
