@@ -27,7 +27,7 @@ def attribute_conversions(
     events: DataFrame,
     keys: list[str],
     window_days: int = 7,
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = 900,
 ) -> DataFrame:
     """Latest click and impression at or before each conversion, within the window.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from adlumen.functions.rates import ratio
+
 _PARTITION_KEYS = ["year", "month", "day", "hour", "event_type"]
 
 
@@ -68,5 +70,8 @@ def compare_counts(before: DataFrame, after: DataFrame, keys: list[str]) -> Data
     return (
         b.join(a, keys, "full_outer")
         .na.fill(0, ["input_rows", "output_rows"])
-        .withColumn("verified", F.col("input_rows") == F.col("output_rows"))
+        .withColumns({
+            "processing_ratio": ratio("output_rows", "input_rows"),
+            "verified": F.col("input_rows") == F.col("output_rows"),
+        })
     )

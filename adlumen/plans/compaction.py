@@ -15,6 +15,7 @@ from adlumen.functions.rates import ratio
 from adlumen.operators import dedup, validation
 from adlumen.operators.joins import lookup_sizes
 from adlumen.sinks.tables import EVENT_LAYOUT
+from adlumen.sources.inventory import list_files, partition_sizes, with_partition_levels
 
 MAX_PARTITIONS = 100
 
@@ -70,16 +71,18 @@ def validate(results: DataFrame) -> DataFrame:
 
 def run_totals(outcomes: DataFrame) -> DataFrame:
     """What a run achieved; files are retired and bytes freed only where the result is valid."""
-    return outcomes.agg(
+    # five names at most leave each task
+    named = outcomes.where(~F.col("is_valid")).select("prefix").orderBy("prefix").limit(5)
+    failures = named.agg(F.sort_array(F.collect_list("prefix")).alias("prefixes"))
+    totals = outcomes.agg(
         F.count("*").alias("jobs"),
         F.count_if("is_valid").alias("succeeded"),
         F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("input_file_count"))), F.lit(0))
         .alias("retired_files"),
         F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("input_bytes"))), F.lit(0))
         .alias("freed_bytes"),
-        F.slice(F.sort_array(F.collect_list(F.when(~F.col("is_valid"), F.col("prefix")))), 1, 5)
-        .alias("first_failures"),
     )
+    return totals.withColumn("first_failures", failures.scalar())
 
 
 def stage_compaction(
@@ -118,15 +121,16 @@ def stage_compaction(
         .write.mode("overwrite").option("compression", "snappy")
         .partitionBy(*EVENT_LAYOUT).parquet(staging)
     )
-    return outcomes(spark, rows, jobs, staging, dedup_keys)
+    # one row per partition, read several times from here on: written instead of recomputed
+    judged_root = f"{staging.rstrip('/')}_outcomes"
+    judge(spark, rows, jobs, staging, dedup_keys).write.mode("overwrite").parquet(judged_root)
+    return spark.read.parquet(judged_root)
 
 
-def outcomes(
+def judge(
     spark: SparkSession, rows: DataFrame, jobs: DataFrame, staging: str, dedup_keys: tuple[str, ...]
 ) -> DataFrame:
     """Counts read back from both sides, with staged bytes, judged per partition."""
-    from adlumen.sources.inventory import list_files, partition_sizes, with_partition_levels
-
     before = dedup.duplicate_accounting(rows, list(dedup_keys), EVENT_LAYOUT).select(
         *EVENT_LAYOUT, "input_rows", "duplicates_removed"
     )

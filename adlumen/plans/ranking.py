@@ -96,6 +96,13 @@ def feature_anomalies(features: DataFrame) -> DataFrame:
     return with_errors(features, feature_rules()).withColumnRenamed("errors", "anomalies")
 
 
+def vector_anomalies(vectors: DataFrame) -> DataFrame:
+    """Anomalies of stored vectors; counts are recovered from their logarithms."""
+    value = {n: f"features['{n}']" for n in ("ctr_24h", "cvr_24h", "ecpm_24h")} | {
+        f"{m}_24h": f"round(expm1(features['{m}_24h_log']))" for m in ("impressions", "clicks")}
+    return feature_anomalies(vectors.selectExpr("ad_id", *[f"{e} AS {n}" for n, e in value.items()]))
+
+
 def run_hourly_features(
     events: DataFrame, bids: DataFrame, bid_order: Column, hour: dt.datetime, root: str,
     exported_at: dt.datetime,
@@ -107,5 +114,5 @@ def run_hourly_features(
     counts = window_counts(hourly_counts(recent, "ad_id"), ["ad_id"], F.lit(hour))
     known = bids.where(ts < F.lit(hour))
     features = with_rates(with_budget(counts, known, bid_order))
-    write_features(feature_vector(features, "ad_id"), root, hour, exported_at)
-    return feature_anomalies(features).where(F.size("anomalies") > 0)
+    stored = write_features(feature_vector(features, "ad_id"), root, hour, exported_at)
+    return vector_anomalies(stored).where(F.size("anomalies") > 0)

@@ -53,10 +53,9 @@ UNION ALL SELECT event_type, 'unknown_device_type', count(*) FROM raw
 @query(QUERIES)
 def quarantine(spark, folder):
     """Valid and rejected rows per event type."""
-    valid, rejected = val.split_valid(_all_log_rows(spark, folder), val.ad_event_rules())
-    both = valid.select("event_type", F.lit(True).alias("valid")).unionByName(
-        rejected.select("event_type", F.lit(False).alias("valid")))
-    return both.groupBy("event_type", "valid").agg(F.count("*").alias("rows"))
+    checked = val.with_errors(_all_log_rows(spark, folder), val.ad_event_rules())
+    return checked.groupBy("event_type", (F.size("errors") == 0).alias("valid")).agg(
+        F.count("*").alias("rows"))
 
 
 SQL["quarantine"] = f"""WITH {_raw_sql()}

@@ -102,7 +102,8 @@ def repartition_verified(spark, folder):
 
 SQL["repartition_verified"] = f"""WITH {AD}
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
-  event_type, count(*) AS input_rows, count(*) AS output_rows, true AS verified
+  event_type, count(*) AS input_rows, count(*) AS output_rows,
+  CAST(1 AS DOUBLE) AS processing_ratio, true AS verified
 FROM ad GROUP BY ALL"""
 
 
@@ -153,15 +154,16 @@ SELECT path, 's3://lake/' || path AS uri, round(size / 1048576, 6) AS size_mb, s
 
 @query(QUERIES)
 def child_prefixes(spark, folder):
-    """Month folders of every year with files."""
+    """Year folders, the months of one year and the days of one month."""
     files = log.stored_files(spark, folder)
-    years = [inventory.child_prefixes(files, y) for y in (1995, 1996)]
-    return years[0].unionByName(years[1])
+    years, months = inventory.child_prefixes(files), inventory.child_prefixes(files, 1998)
+    return years.unionByName(months).unionByName(inventory.child_prefixes(files, 1998, 7))
 
 
 SQL["child_prefixes"] = f"""WITH {FILES}
-SELECT DISTINCT regexp_extract(prefix, '^(events/year=\\d+/month=\\d+/)', 1) AS child_prefix
-FROM files WHERE year(day) IN (1995, 1996)"""
+SELECT DISTINCT strftime(day, 'events/year=%Y/') AS child_prefix FROM files
+UNION ALL SELECT DISTINCT strftime(day, 'events/year=%Y/month=%m/') FROM files WHERE year(day) = 1998
+UNION ALL SELECT DISTINCT prefix FROM files WHERE year(day) = 1998 AND month(day) = 7"""
 
 
 @query(QUERIES)

@@ -42,8 +42,10 @@ def write_events(events: DataFrame, root: str) -> None:
     )
 
 
-def write_features(vectors: DataFrame, root: str, hour: dt.datetime, exported_at: dt.datetime) -> None:
-    """Vectors of one hour plus a metadata record describing them."""
+def write_features(
+    vectors: DataFrame, root: str, hour: dt.datetime, exported_at: dt.datetime
+) -> DataFrame:
+    """Vectors of one hour plus a metadata record describing them; returns the stored rows."""
     stamped = vectors.withColumns(st.partition_columns(F.lit(hour)))
     write_partitioned(stamped, root, EVENT_LAYOUT[:4])
     written = vectors.sparkSession.read.parquet(root).where(
@@ -53,6 +55,7 @@ def write_features(vectors: DataFrame, root: str, hour: dt.datetime, exported_at
     feature_metadata(written, hour, exported_at).write.mode("append").json(
         f"{root.rstrip('/')}_metadata"
     )
+    return written
 
 
 def feature_metadata(vectors: DataFrame, hour: dt.datetime, exported_at: dt.datetime) -> DataFrame:

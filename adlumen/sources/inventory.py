@@ -59,9 +59,12 @@ def with_partition_levels(files: DataFrame) -> DataFrame:
 
 
 def child_prefixes(
-    files: DataFrame, year: int, month: int | None = None, day: int | None = None
+    files: DataFrame, year: int | None = None, month: int | None = None, day: int | None = None
 ) -> DataFrame:
-    """Distinct folders one level below a year, month or day."""
+    """Distinct folders one level below a year, month or day; the years without arguments."""
+    if year is None:
+        root = F.regexp_extract("prefix", "^(.*?/?year=[^/]+/)", 1)
+        return files.select(root.alias("child_prefix")).where(F.col("child_prefix") != "").distinct()
     levels = [f"year={year:04d}"]
     levels += [] if month is None else [f"month={month:02d}"]
     levels += [] if month is None or day is None else [f"day={day:02d}"]

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from adlumen.functions import storage as st
-from adlumen.operators.aggregate import metric_aggregates
+from adlumen.operators.aggregate import metric_aggregates, metric_sums
+from adlumen.schemas import METRICS
 from adlumen.sinks.tables import EVENT_LAYOUT
 
 
@@ -27,14 +28,29 @@ def deduplicate(events: DataFrame, delay: str, keys: tuple[str, ...] = ("event_i
 def sliding_counts(
     events: DataFrame, keys: list[str], delay: str, length: str = "24 hours", slide: str = "1 hour"
 ) -> DataFrame:
-    """Metrics per key over a sliding window, emitted once the watermark passes its end."""
-    return (
+    """Metrics per key over a sliding window, emitted once the watermark passes its end.
+
+    A sliding window copies its input once per overlapping window. Events are therefore
+    counted per slide first; only those counts are copied into the long windows.
+    """
+    slides = (
         events.withWatermark("timestamp", delay)
-        .groupBy(*keys, F.window("timestamp", length, slide))
+        .groupBy(*keys, F.window("timestamp", slide).alias("slide"))
         .agg(*metric_aggregates())
+    )
+    return (
+        slides.groupBy(*keys, F.window("slide", length, slide).alias("window"))
+        .agg(*metric_sums())
         .select(*keys, F.col("window.start").alias("window_start"),
-                F.col("window.end").alias("window_end"),
-                "impressions", "clicks", "conversions", "views", "spend", "revenue")
+                F.col("window.end").alias("window_end"), *METRICS)
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped so far in the reported batches because they came after the watermark."""
+    return sum(
+        int(operator["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress for operator in progress["stateOperators"]
     )
 
 
