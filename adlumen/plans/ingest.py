@@ -37,7 +37,8 @@ def run_partitioning(
 ) -> DataFrame:
     """Write the day's pending partitions; finished ones are left untouched.
 
-    Returns input and output row counts per partition. Invalid rows go to quarantine.
+    Invalid rows go to quarantine. Returns row counts per partition, landed against stored
+    or quarantined.
     """
     days = spark.createDataFrame([(day,)], "day date")
     expected = joins.expected_partitions(days, event_types)
@@ -55,10 +56,19 @@ def run_partitioning(
 
     written = spark.read.parquet(f"{out_root}/events").where(
         (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-    ).join(F.broadcast(pending), levels, "left_semi")
-    # read back for the ledger and the caller instead of counting twice
+    )
+    # The input side reads two columns of the landed rows: each must be stored or quarantined.
+    refused = with_levels(
+        spark.read.parquet(f"{out_root}/quarantine").where(F.col("date") == F.lit(day))
+    )
+    arrived = with_levels(landed.select("timestamp", "event_type"))
+    kept = written.select(*levels).unionByName(refused.select(*levels))
+    before, after = (
+        df.join(F.broadcast(pending), levels, "left_semi") for df in (arrived, kept)
+    )
+    # written once: the ledger and the caller both read it
     outcome = f"{out_root}/verification/date={day}/run={uuid.uuid4().hex}"
-    joins.compare_counts(todo, written, levels).write.parquet(outcome)
+    joins.compare_counts(before, after, levels).write.parquet(outcome)
     verified = spark.read.parquet(outcome)
     measures = verified.agg(
         F.count("*").alias("partitions"), F.sum("output_rows").alias("rows"),

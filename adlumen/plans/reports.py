@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlumen.operators import aggregate as agg
 from adlumen.operators.ranks import batches
@@ -63,38 +63,38 @@ def report_documents(facts: DataFrame, ads_per_document: int = ADS_PER_DOCUMENT)
     documents (``part`` of ``parts``) that together list every ad; the totals in each are
     those of the whole entity.
     """
-    ads = facts.groupBy(*HIERARCHY).agg(*agg.metric_sums())
-    totals = agg.with_kpis(
-        ads.groupBy("advertiser_id").agg(F.count("*").alias("_ads"), *agg.metric_sums())
-    ).select(
-        "advertiser_id", F.struct(*METRICS, *_KPIS).alias("total_metrics"),
-        F.ceil(F.col("_ads") / ads_per_document).alias("parts"),
-    )
-    sliced = ads.join(totals, "advertiser_id").withColumn(
-        "part", F.pmod(F.xxhash64("ad_id"), "parts")
-    )
-    header = ("parts", "total_metrics")
-    nested = agg.with_kpis(sliced).select(
-        *HIERARCHY, "part", *header, *METRICS, F.struct("ad_id", *METRICS, *_KPIS).alias("item")
+    # Every id is present in a fact. Saying so gives all branches below the same filters,
+    # and with them one shared shuffle of `ads`.
+    ads = facts.dropna(subset=list(HIERARCHY)).groupBy(*HIERARCHY).agg(*agg.metric_sums())
+    numbers = [*METRICS, *_KPIS]
+
+    def totals(depth: int) -> DataFrame:
+        keys = HIERARCHY[:depth]
+        sums = ads.groupBy(*keys).agg(F.count("*").alias("_ads"), *agg.metric_sums())
+        return agg.with_kpis(sums).select(*keys, "_ads", F.struct(*numbers).alias(f"total_{depth}"))
+
+    # totals are attached while rows are narrow; nesting then needs neither joins nor windows
+    rows = agg.with_kpis(ads).select(*HIERARCHY, F.struct("ad_id", *numbers).alias("item"))
+    for depth in (3, 2):
+        rows = rows.join(totals(depth).drop("_ads"), list(HIERARCHY[:depth]))
+    rows = (
+        rows.join(totals(1), "advertiser_id")
+        .withColumn("parts", F.ceil(F.col("_ads") / ads_per_document))
+        .withColumn("part", F.pmod(F.xxhash64("ad_id"), "parts"))
     )
     for depth, children in ((3, "ad_metrics"), (2, "adset_metrics")):
-        keys = HIERARCHY[:depth]
-        # at most `parts` rows per entity
-        across_parts = Window.partitionBy(*keys)
-        gathered = nested.groupBy(*keys, "part").agg(
-            *[F.any_value(c).alias(c) for c in header],
-            *[F.sum(m).alias(f"_{m}") for m in METRICS],
+        keys, carried = HIERARCHY[:depth], ["parts", *[f"total_{d}" for d in range(1, depth + 1)]]
+        gathered = rows.groupBy(*keys, "part").agg(
+            *[F.any_value(c).alias(c) for c in carried],
             F.sort_array(F.collect_list("item")).alias(children),
         )
-        entities = agg.with_kpis(
-            gathered.withColumns({m: F.sum(f"_{m}").over(across_parts) for m in METRICS})
-        )
-        nested = entities.select(
-            *keys, "part", *header, *[F.col(f"_{m}").alias(m) for m in METRICS],
-            F.struct(keys[-1], *METRICS, *_KPIS, children).alias("item"),
+        own = [F.col(f"total_{depth}.{n}").alias(n) for n in numbers]
+        rows = gathered.select(
+            *keys, "part", *carried[:-1], F.struct(keys[-1], *own, children).alias("item")
         )
-    return nested.groupBy("advertiser_id", "part").agg(
-        *[F.any_value(c).alias(c) for c in header],
+    return rows.groupBy("advertiser_id", "part").agg(
+        F.any_value("parts").alias("parts"),
+        F.any_value("total_1").alias("total_metrics"),
         F.sort_array(F.collect_list("item")).alias("campaign_metrics"),
     )
 

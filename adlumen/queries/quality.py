@@ -244,7 +244,8 @@ SELECT event_type, c AS "column" FROM wanted ANTI JOIN seen USING (event_type, c
 @query(QUERIES)
 def email_check(spark, folder):
     """Words of whole documents that look like addresses, and whether they are valid."""
-    words = log.table(spark, folder, "documents").select(
+    documents = log.table(spark, folder, "documents").where(F.col("text").contains("@"))
+    words = documents.select(
         "doc_id", F.explode(F.split("text", r"[ \t\n\r]+")).alias("word"))
     return words.where(F.col("word").contains("@")).select(
         "doc_id", "word", is_email(F.col("word")).alias("is_valid"))

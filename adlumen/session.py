@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # file size aimed at by rebalanced writes; smaller shuffles still spread over all cores
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.parquet.mergeSchema": "false",
