@@ -80,7 +80,8 @@ AD = """ad AS (
          CASE event_type WHEN 'view' THEN 'impression' WHEN 'purchase' THEN 'conversion'
                          WHEN 'signup' THEN 'engagement' ELSE event_type END AS event_type,
          ts, user_id,
-         k AS ad_id, k // 2 AS adset_id, k // 10 AS campaign_id, k // 20 AS advertiser_id,
+         coalesce(k, -1) AS ad_id, coalesce(k // 2, -1) AS adset_id,
+         coalesce(k // 10, -1) AS campaign_id, coalesce(k // 20, -1) AS advertiser_id,
          CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS revenue,
          CASE WHEN event_type IN ('view', 'click') THEN value * 0.01 ELSE 0 END AS cost
   FROM (SELECT *, CAST(props ->> '$.k' AS BIGINT) AS k FROM events)

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlumen.functions import storage as st
+from adlumen.schemas import HIERARCHY
+
+UNKNOWN_ID = -1
 
 # Names of the log's event types in the ad vocabulary.
 LOG_EVENT_TYPES = {
@@ -54,9 +57,15 @@ def ad_columns(log: DataFrame) -> DataFrame:
 
 
 def ad_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of a known type, with the hierarchy filled in."""
+    """Events of a known type, with the hierarchy filled in.
+
+    An event without an ad belongs to ad -1. With ids that cannot be NULL a join adds no
+    null filter of its own, so branches of a plan stay alike and can share a shuffle, and
+    the payload is parsed once per row.
+    """
     log = table(spark, folder, "events")
-    return ad_columns(log.where(F.col("event_type").isin(*LOG_EVENT_TYPES)))
+    known = ad_columns(log.where(F.col("event_type").isin(*LOG_EVENT_TYPES)))
+    return known.withColumns({c: F.coalesce(c, F.lit(UNKNOWN_ID)) for c in HIERARCHY})
 
 
 def ad_names(spark: SparkSession, folder: str) -> DataFrame:
