@@ -18,9 +18,11 @@ def _bucket_of(value: Column, cuts: Column) -> Column:
     return F.size(F.filter(cuts, lambda c: c <= value))
 
 
-def _cut_points(value: Column, buckets: int) -> Column:
-    fractions = [i / buckets for i in range(1, buckets)]
-    return F.array_distinct(F.percentile_approx(value, fractions, buckets * 20)).alias("cuts")
+def _cut_points(value: str, buckets: int) -> Column:
+    fractions = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    return F.expr(
+        f"array_distinct(percentile_approx(`{value}`, array({fractions}), {buckets * 20})) AS cuts"
+    )
 
 
 def quantile_cuts(
@@ -39,7 +41,7 @@ def quantile_cuts(
         .groupBy("metric", "value").agg(F.count("*").alias("copies"))
     )
     # `copies` is read here so that all three uses share one shuffle of `counts`
-    cuts = counts.where(F.col("copies") > 0).groupBy("metric").agg(_cut_points(F.col("value"), buckets))
+    cuts = counts.where(F.col("copies") > 0).groupBy("metric").agg(_cut_points("value", buckets))
     # one row per metric: a handful of names chosen by the caller
     placed = counts.join(F.broadcast(cuts), "metric").select(
         "metric", "value", "copies", _bucket_of(F.col("value"), F.col("cuts")).alias("bucket")
@@ -96,7 +98,7 @@ def approximate_cuts(
 
 def global_position(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     """Adds ``position`` (0-based) in the order of ``key``, a unique numeric column."""
-    cuts = df.agg(_cut_points(F.col(key), buckets))
+    cuts = df.agg(_cut_points(key, buckets))
     # one row holding at most `buckets` numbers
     placed = (
         df.withColumn("_cuts", cuts.scalar())

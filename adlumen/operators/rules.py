@@ -73,4 +73,6 @@ def tag_segments(df, segments: dict[str, Criteria], id_column: str = "user_id"):
         F.when(criteria.column(), F.lit(name)).otherwise(F.lit(""))
         for name, criteria in segments.items()
     ]), "")
-    return df.select(id_column, F.explode(matched).alias("segment_id"))
+    # an outer explode, because a plain one evaluates the array again as a filter
+    tagged = df.select(id_column, F.explode_outer(matched).alias("segment_id"))
+    return tagged.where(F.col("segment_id").isNotNull())
