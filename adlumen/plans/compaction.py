@@ -6,7 +6,6 @@ needs no oversized row. One job compacts all planned partitions together.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -113,7 +112,9 @@ def stage_compaction(
         .withColumn("path", F.col("_metadata.file_path"))
         .join(plan.select(F.col("path"), "output_file_count"), "path")
     )
-    keep = dedup.drop_duplicates(rows, list(dedup_keys), [order, F.col("path")], within=EVENT_LAYOUT)
+    # the content hash settles copies with the same time in the same file
+    ties = [order, F.col("path"), F.xxhash64(*rows.columns)]
+    keep = dedup.drop_duplicates(rows, list(dedup_keys), ties, within=EVENT_LAYOUT)
     salt = F.pmod(F.xxhash64(*dedup_keys), F.col("output_file_count"))
     (
         keep.withColumn("_salt", salt)

@@ -15,10 +15,16 @@ def physical(df):
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
-def test_no_products_and_no_python(spark, small, name):
+def test_no_products_no_python_no_single_task(spark, small, name):
     plan = physical(queries()[name](spark, small))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas"):
         assert node not in plan
+    # a single-partition exchange carries aggregates or bucket totals, not rows
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = " ".join(lines[i + 1:i + 4])
+            assert "partial_" in below or "HashAggregate(keys=[_bucket" in below or "Limit" in below, line
 
 
 def scans(plan):
@@ -62,13 +68,3 @@ def test_branches_share_one_scan(spark, small, name):
     assert "ReusedExchange" in final
     # where the cut points read the log, the rest of the plan reuses their shuffle
     assert final.count("FileScan") <= 1
-
-
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
-def test_windows_never_sort_a_whole_table(spark, small, name):
-    """A single-partition exchange carries aggregates or bucket totals, not rows."""
-    lines = physical(queries()[name](spark, small)).splitlines()
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            below = " ".join(lines[i + 1:i + 4])
-            assert "partial_" in below or "HashAggregate(keys=[_bucket" in below or "Limit" in below, line

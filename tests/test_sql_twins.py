@@ -41,3 +41,29 @@ def test_file_inventory(spark, small):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.fixture(scope="module")
+def skewed(small, tmp_path_factory):
+    """A third of the events on one user and one ad, a tenth without a user."""
+    folder = tmp_path_factory.mktemp("skewed")
+    duckdb.connect().execute(f"""COPY (
+        SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 10 = 1 THEN NULL
+                                  ELSE user_id END AS user_id,
+               event_type, value, CASE WHEN event_id % 3 = 0 THEN '{{"k": 0}}' ELSE props END AS props
+        FROM '{small}/events.parquet') TO '{folder}/events.parquet' (FORMAT parquet)""")
+    for name in TABLES[1:]:
+        (folder / f"{name}.parquet").symlink_to(Path(small) / f"{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", [
+    "attribution", "attribution_by_user", "nested_report", "top_ads", "hierarchy_rollup",
+    "window_counts", "decayed_metrics", "user_features", "rfm_thresholds", "rfm_tiers",
+    "dedup_events", "dedup_accounting", "hourly_rolling_counts"])
+def test_same_rows_with_a_dominant_key(spark, skewed, name):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{skewed}/{table}.parquet'")
+    got = queries()[name](spark, skewed).toPandas()
+    assert canonical(got) == canonical(connection.execute(oracle_sql()[name]).df())
