@@ -22,7 +22,10 @@ def with_levels(events: DataFrame) -> DataFrame:
 
 
 def existing_partitions(table: DataFrame) -> DataFrame:
-    """Partition values present in a table; columns other than these are pruned away."""
+    """Partition values present in a table without Hive folders.
+
+    For a partitioned table take :func:`adlumen.sources.inventory.listed_partitions`.
+    """
     return table.select(*[F.col(c).cast(t) for c, t in _LEVELS.items()]).distinct()
 
 
@@ -35,7 +38,7 @@ def run_partitioning(
     event_types: tuple[str, ...] = S.PARTITIONED_EVENT_TYPES,
     existing: DataFrame | None = None,
 ) -> DataFrame:
-    """Write the day's pending partitions; finished ones are left untouched.
+    """Write the day's pending partitions; those in ``existing`` are left untouched.
 
     Invalid rows go to quarantine. Returns row counts per partition, landed against stored
     or quarantined.

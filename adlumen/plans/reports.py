@@ -120,11 +120,15 @@ def run_daily_report(
     tables.write_partitioned(rollup, f"{out_root}/kpis", ["date"])
 
     totals = validate_reports(advertiser_totals(facts, "report_date"))
-    documents = (
-        report_documents(facts).join(
-            report_metadata(totals, F.lit(generated_at)), "advertiser_id"
-        ).withColumn("date", F.lit(day))
-    )
+    header = report_metadata(totals, F.lit(generated_at)).withColumn("period", F.struct(
+        F.lit(day).alias("start_date"), F.lit(day).alias("end_date"),
+        F.lit("daily").alias("granularity"), F.lit("UTC").alias("timezone"),
+    ))
+    documents = report_documents(facts).join(header, "advertiser_id").withColumns({
+        "report_id": F.concat_ws("-", F.col("advertiser_id").cast("string"), F.lit(f"{day:%Y%m%d}"),
+                                 F.col("part").cast("string")),
+        "date": F.lit(day),
+    })
     tables.write_reports(documents, f"{out_root}/reports")
 
     summary = facts.select("report_date", *HIERARCHY, *METRICS).withColumn(

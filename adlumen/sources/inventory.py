@@ -58,6 +58,12 @@ def with_partition_levels(files: DataFrame) -> DataFrame:
     })
 
 
+def listed_partitions(files: DataFrame) -> DataFrame:
+    """Distinct partitions that hold files, from the listing alone: no data file is opened."""
+    levels = list(_LEVELS)
+    return with_partition_levels(files).select(*levels).dropna(subset=levels).distinct()
+
+
 def child_prefixes(
     files: DataFrame, year: int | None = None, month: int | None = None, day: int | None = None
 ) -> DataFrame:

@@ -50,7 +50,8 @@ def test_partitioning_is_idempotent(spark, landed, tmp_path):
     assert {(r.device_type, r.country_code) for r in stored.collect()} == {("unknown", "US")}
 
     files = sorted(p for p in Path(root, "events").rglob("*.parquet"))
-    done = ingest.existing_partitions(spark.read.parquet(f"{root}/events"))
+    done = inventory.listed_partitions(inventory.list_files(spark, f"{root}/events"))
+    assert done.exceptAll(ingest.existing_partitions(spark.read.parquet(f"{root}/events"))).count() == 0
     again = ingest.run_partitioning(spark, landed, DAY, root, NOON, ("impression", "click"), done)
     # the one partition without a valid row is still unfinished, but nothing is written
     assert [(r.hour, r.event_type) for r in again.collect()] == [(3, "click")]
@@ -203,6 +204,8 @@ def test_daily_report(spark, small, tmp_path):
     assert notify.where("spend <= 0").count() == 0 and notify.count() > 0
     document = json.loads(next(Path(root, "reports").rglob("*.json")).read_text().splitlines()[0])
     assert document["is_final"] and document["currency"] == "USD"
+    assert document["report_id"].endswith("-20240115-0")
+    assert document["period"]["start_date"] == document["period"]["end_date"] == "2024-01-15"
     ad = document["campaign_metrics"][0]["adset_metrics"][0]["ad_metrics"][0]
     assert {"ad_id", "impressions", "roas"} <= set(ad)
     total = sum(c["impressions"] for c in document["campaign_metrics"])
