@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,13 +37,9 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
-    Tables written here must be readable by every executor, so the location
-    comes from ``spark.checkpoint.dir``. A machine-local folder is used only
-    when the whole session lives on one machine.
+    Tables written here must be readable by every executor, so the location comes from
+    ``spark.checkpoint.dir``. Where that is unset, as in tests, the warehouse folder
+    serves, which executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="spark-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/adlumen/{purpose}-{uuid.uuid4().hex}"
