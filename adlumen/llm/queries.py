@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import chat, ring
+from adlumen.llm import bpe, chat, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 SHARDS = 24
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
@@ -21,6 +22,12 @@ def query(fn):
     return fn
 
 
+@query
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER))
+
+
 @query
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on a ring of 24 shards with bounded loads; counts at most one apart."""
@@ -36,4 +43,4 @@ def op8_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = spark.createDataFrame(
         [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id long, turn long, role string, text string")
-    return chat.read_back(chat.format_chats(rows.unionByName(odd), public_tokenizers.path("byte_bpe_50k.json")))
+    return chat.read_back(chat.format_chats(rows.unionByName(odd), TOKENIZER))
