@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, ring
+from adlumen.llm import bpe, chat, decontaminate, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,9 @@ def op8_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.format_chats(rows.unionByName(odd), TOKENIZER))
+
+
+@query
+def op9_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages of ten words or more in all documents."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
