@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, decontaminate, ring
+from adlumen.llm import bpe, chat, decontaminate, golay, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,13 @@ def query(fn):
     return fn
 
 
+@query
+def op2_golay_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints differ in four bits or fewer."""
+    return golay.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
