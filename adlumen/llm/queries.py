@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, decontaminate, golay, ring
+from adlumen.llm import bpe, chat, decontaminate, golay, quality, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,15 @@ def op2_golay_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and the verdict of the line rules for all documents."""
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+SQL["op5_line_quality"] = quality.REPORT_SQL
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
