@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, decontaminate, golay, quality, ring
+from adlumen.llm import bpe, chat, decontaminate, golay, line_dedup, quality, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that are similar to an earlier line."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_golay_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose fingerprints differ in four bits or fewer."""
