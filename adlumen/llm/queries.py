@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, decontaminate, golay, langid, line_dedup, quality, ring
+from adlumen.llm import bpe, chat, decontaminate, golay, langid, line_dedup, pii, quality, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op8_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages of ten words or more in all documents."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+@query
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data and secrets."""
+    return pii.report(table(spark, sf_dir, "documents"), key="op10")
