@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import bpe, chat, decontaminate, golay, langid, line_dedup, pii, quality, ring
+from adlumen.llm import bpe, chat, decontaminate, golay, langid, licenses, line_dedup, pii, quality, ring
 from adlumen.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op2_golay_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_licence_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents with family, probability and template."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.notices(docs, licenses.train(docs))
+
+
 @query
 def op4_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three quarters of them."""
