@@ -232,13 +232,13 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField("text", T.StringType())]))
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of ids and decoded texts."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of ids and decoded texts, and columns asked for."""
     ids = F.coalesce("ids", F.array().cast("array<int>"))
     return decoded.select(
         _ID, F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("text"), 256).alias("decoded_sha256"), *more)
 
 
 def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

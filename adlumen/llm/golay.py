@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adlumen.llm.common import once, small_batches, stored
+from adlumen.llm.common import fresh, once, small_batches, stored
 from adlumen.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -18,6 +18,7 @@ SHINGLE, SEED, DISTANCE = 4, 42, 4
 LENGTH, DATA, GENERATOR = 23, 12, 0b101011100011
 #: A fingerprint's three segments (first bit, bits), each read as a word of the code.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+_LAST_ID = (1 << 63) - 1
 #: Fingerprints with one key that are compared within one group; more are split.
 GROUP = 4_096
 
@@ -49,16 +50,19 @@ def _majority(hashes: np.ndarray, block: int = 1 << 14) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (signed long) of every row."""
+    """doc_id, fingerprint (signed long) and a hash of the text of every row."""
     small_batches(docs.sparkSession)
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("check"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], names=["doc_id", "mark"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64)), batch.column(2)],
+                                             names=["doc_id", "mark", "check"])
 
-    return given.mapInArrow(run, T.StructType([given.schema["doc_id"], T.StructField("mark", T.LongType())]))
+    return given.mapInArrow(run, T.StructType([given.schema["doc_id"], T.StructField("mark", T.LongType()),
+                                               T.StructField("check", T.LongType())]))
 
 
 # ---- keys -----------------------------------------------------------------------
@@ -228,7 +232,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, mark (fingerprint) and component_id: the smallest doc_id reachable over links.
+    """doc_id, mark (fingerprint), check (text hash) and component_id: the smallest doc_id reachable.
 
     Fingerprints within ``distance`` differing bits are linked; equal ones are one node.
     Null, empty and wordless texts have fingerprint zero and are linked like any other.
@@ -241,5 +245,20 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
     nodes = nodes.join(joined.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "root", F.coalesce("root", "mark"))
     named = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = stored(nodes.join(named, "root").select("mark", "component_id"), "fingerprint-classes")
-    return marked.join(named, "mark").select("doc_id", "mark", "component_id")
+    named = stored(nodes.join(named, "root").select("mark", "component_id", "root"), "fingerprint-classes")
+    return marked.join(named, "mark").select("doc_id", "mark", "check", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids last.
+
+    Of rows with that id the one with the smallest text hash stays, of equal rows any one.
+    """
+    known = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID)).alias("id")
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    best = found.groupBy("root").agg(F.min(F.struct(known, F.col("check"))).alias("best"))
+    a, b = fresh("id_key", docs.columns), fresh("check_key", docs.columns)
+    best = best.select(F.col("best.id").alias(a), F.col("best.check").alias(b)).distinct()
+    keyed = docs.withColumns({a: F.coalesce(F.col(id_col), F.lit(_LAST_ID)),
+                              b: F.xxhash64(F.col(text_col).cast("string"))})
+    return keyed.join(best, [a, b], "left_semi").dropDuplicates([a, b]).drop(a, b)

@@ -70,12 +70,14 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "CAST(size(full) - size(array_distinct(transform(full, x -> x.line))) AS BIGINT) AS n_dup_lines",
         f"""CAST(aggregate(transform(again, (x, k) -> least({SPAN}, coalesce(get(again, k + 1) - x, {SPAN}))),
              0, (a, x) -> a + x) AS BIGINT) AS n_repeat_words""",
-        "CAST(aggregate(filter(lines, x -> x.failed), 0, (a, x) -> a + x.n) AS BIGINT) AS lost")
+        "CAST(aggregate(filter(lines, x -> x.failed), 0, (a, x) -> a + x.n) AS BIGINT) AS lost",
+        # keeps a filter on the verdict from being moved below, where it would repeat all of the above
+        "spark_partition_id() AS task")
     seven = six.selectExpr(
         "*", f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed")
     return seven.selectExpr(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost",
-        f"NOT base_failed AND lost <= {MAX_LOST} * n_words AS kept",
+        f"NOT base_failed AND lost <= {MAX_LOST} * n_words AND task >= 0 AS kept",
         f"""CASE WHEN row.`{text_col}` IS NOT NULL THEN
               array_join(transform(filter(lines, x -> NOT x.failed), x -> x.line), '\n') END AS clean""")
 
