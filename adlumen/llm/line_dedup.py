@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adlumen.llm.common import fresh, small_batches, stored
+from adlumen.llm.common import fresh, once, small_batches, stored
 
 #: Least Jaccard similarity of two lines' word sets, in hundredths.
 SIMILARITY = 80
@@ -20,6 +20,8 @@ GROUP = 20_000
 #: Earlier candidates tried first for each line and word; lines that none of them settles
 #: and that have more are compared with all of them afterwards.
 FIRST = 4
+#: Slots of the filters that spare rows which cannot matter the way through a shuffle.
+FILTER_SLOTS = 1 << 20
 #: Stands for a null id: such rows come first.
 NO_ID = -(1 << 63)
 
@@ -31,53 +33,123 @@ def overlap_needed(n: np.ndarray, m: np.ndarray, similarity: int) -> np.ndarray:
     return -(-(similarity * (n + m)) // (100 + similarity))
 
 
-def split_lines(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """All words of all lines with a word; for each such line its text, number and word count."""
-    words: list[bytes] = []
-    doc, number, count = [], [], []
-    for d, text in enumerate(texts):
-        if text:
-            for i, line in enumerate(text.encode().lower().split(b"\n")):
-                if found := line.split():
-                    words += found
-                    doc.append(d)
-                    number.append(i)
-                    count.append(len(found))
-    return words, np.array(doc, dtype=np.int64), np.array(number, dtype=np.int64), np.array(count, dtype=np.int64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_IS_SPACE = np.zeros(256, dtype=np.int8)
+_IS_SPACE[list(b" \t\n\v\f\r")] = 1
+#: Multiplier of the word hashes, and texts hashed together (bytes; a longer one is alone).
+_BASE, _BLOCK = 0x9E3779B97F4A7C15, 1 << 18
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
 
-def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each word among the distinct ones, and their hashes."""
-    index: dict[bytes, int] = {}
-    at = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words))
-    digest = xxhash.xxh64_intdigest
-    return at, np.fromiter(map(digest, index), dtype=np.uint64, count=len(index))
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word in order: its text, its line's number and a 64-bit hash.
+
+    Words are found in blocks of bytes, and hashed by differences of one running
+    polynomial: cost by byte, not by word.
+    """
+    out, held, first, size = [], [], 0, 0
+    for i, text in enumerate(texts):
+        held.append((text or "").encode())
+        size += len(held[-1]) + 1
+        if size >= _BLOCK or i == len(texts) - 1:
+            out.append(_block(held, first))
+            held, first, size = [], i + 1, 0
+    none = np.zeros(0, dtype=np.int64)
+    doc, number, h = ([none, *c] for c in (zip(*out, strict=True) if out else ((), (), ())))
+    return np.concatenate(doc), np.concatenate(number), np.concatenate([x.astype(np.uint64) for x in h])
+
+
+def _block(held: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = _LOWER[np.frombuffer(b"\n".join([*held, b""]), dtype=np.uint8)]
+    up, down = once("line-powers", lambda: [
+        _powers(_BASE, 2 * _BLOCK), _powers(pow(_BASE, -1, 1 << 64), 2 * _BLOCK)])
+    if len(data) > len(up):
+        up, down = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
+    space = _IS_SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(data) and not space[0]:
+        edge = np.concatenate([[0], edge])
+    start, end = edge[::2], edge[1::2]
+    run = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=run[1:])
+    h = _mixed((run[end] - run[start]) * down[start])
+    breaks = np.flatnonzero(data == 10)
+    sizes = np.array([len(x) + 1 for x in held])
+    begin = np.cumsum(sizes) - sizes
+    doc = np.searchsorted(begin, start, side="right") - 1
+    number = np.searchsorted(breaks, start) - np.searchsorted(breaks, begin)[doc]
+    return doc + first, number, h
 
 
 class Sets:
-    """The distinct words of each line, rarest first, as flat arrays."""
+    """The distinct words of each line with a word, rarest first, as flat arrays."""
 
     def __init__(self, texts: list[str | None], rarity: np.ndarray | None = None):
-        words, self.doc, self.number, count = split_lines(texts)
-        self.lines = len(count)
+        doc, number, h = word_hashes(texts)
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])
+        self.doc, self.number, self.lines = doc[new], number[new], int(new.sum())
         if not self.lines:
             return
-        at, hashes = hashed(words)
-        rare = rarity[hashes >> np.uint64(64 - SLOTS_BITS)] if rarity is not None else np.zeros(len(hashes))
-        order = np.lexsort((hashes, rare))
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        keyed = np.sort(np.repeat(np.arange(self.lines), count) * len(order) + rank[at])
-        keyed = keyed[np.concatenate([[True], keyed[1:] != keyed[:-1]])]
-        line = keyed // len(order)
-        self.words = hashes[order[keyed % len(order)]]
-        self.size = np.bincount(line, minlength=self.lines)
+        line = np.cumsum(new) - 1
+        kind = rarity[h >> np.uint64(64 - SLOTS_BITS)] if rarity is not None else np.zeros(len(h), dtype=np.uint64)
+        # line, class of rarity and the upper bits of the hash in one number
+        key = line.astype(np.uint64) << np.uint64(40) | kind << np.uint64(34) | h >> np.uint64(30)
+        order = np.argsort(key)
+        key, ordered = key[order], h[order]
+        same = key[1:] == key[:-1]
+        if (same & (ordered[1:] != ordered[:-1])).any():  # two words alike in all upper bits
+            order = np.lexsort((h, kind, line))
+            ordered = h[order]
+        line = line[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (ordered[1:] != ordered[:-1]) | (line[1:] != line[:-1])
+        self.words = ordered[new]
+        self.size = np.bincount(line[new], minlength=self.lines)
         self.start = np.cumsum(self.size) - self.size
-        mixed = self.words * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        self.key = np.add.reduceat(mixed ^ mixed >> np.uint64(32), self.start).view(np.int64)
-        self.parity = np.bitwise_xor.reduceat(_ONE << (self.words & _MASK), self.start).view(np.int64)
+        self.key = np.add.reduceat(_mixed(self.words ^ np.uint64(_BASE)), self.start).view(np.int64)
+        self.parity = parities(self.words, self.start, self.size)
+
+
+def width(n: np.ndarray) -> np.ndarray:
+    """64-bit words of parity that a line of n words has: 1, 2 or 4."""
+    return np.where(n <= 80, 1, np.where(n <= 160, 2, 4))
+
+
+def parities(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Four columns: for each slot of word hashes whether an odd number of words falls there.
+
+    Shorter lines have fewer slots; their parities are those of longer ones laid over
+    each other.
+    """
+    part = (words >> np.uint64(6) & np.uint64(3)).astype(np.int64) & np.repeat(width(size) - 1, size)
+    bit = _ONE << (words & _MASK)
+    return np.stack([np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), start) for k in range(4)]).view(np.int64)
+
+
+def differing(x: list[np.ndarray], y: list[np.ndarray], common: np.ndarray) -> np.ndarray:
+    """Slots whose parities differ, at the smaller width of the two: at most the differing words."""
+    four = [a ^ b for a, b in zip(x, y, strict=True)]
+    two = [four[0] ^ four[2], four[1] ^ four[3]]
+    count = [sum(np.bitwise_count(c).astype(np.int64) for c in cs) for cs in ([two[0] ^ two[1]], two, four)]
+    return np.where(common == 1, count[0], np.where(common == 2, count[1], count[2]))
+
+
+def classes(counts: np.ndarray) -> np.ndarray:
+    """Class of rarity, 0 to 63, by slot: three to a doubling."""
+    return np.minimum(63, 3 * np.log2(counts + 1)).astype(np.uint64)
 
 
 def rarities(docs: DataFrame) -> np.ndarray:
@@ -86,16 +158,15 @@ def rarities(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOTS_BITS, dtype=np.int64)
         for batch in batches:
-            at, hashes = hashed(split_lines(batch.column(0).to_pylist())[0])
-            if len(at):
-                np.add.at(slots, (hashes >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), np.bincount(at))
-        yield from rows(dict(enumerate(slots.reshape(CHUNKS, -1))))
+            h = word_hashes(batch.column(0).to_pylist())[2]
+            slots += np.bincount((h >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), minlength=len(slots))
+        yield from rows(dict(enumerate(slots.astype(np.uint32).reshape(CHUNKS, -1))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(data, dtype=np.int64)
+                part = np.frombuffer(data, dtype=np.uint32).astype(np.int64)
                 held[chunk] = held[chunk] + part if chunk in held else part
         yield from rows(held)
 
@@ -114,14 +185,14 @@ def rarities(docs: DataFrame) -> np.ndarray:
 
 _LINES = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("line", T.LongType()),
-    T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("parity", T.LongType()),
+    T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), *(T.StructField(f"p{k}", T.LongType()) for k in range(4)),
     T.StructField("words", T.ArrayType(T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType()))])
 
 
 def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int = GROUP) -> DataFrame:
-    """Each line set once for each task that reads it, with its prefix words and their places.
+    """The first line of each set of words, with its prefix words and their places.
 
-    A later copy that the same task reads needs no further look. A word with more than
+    A task passes on the first copy it reads; of those the first of all stays. A word with more than
     ``group`` occurrences stands for several blocks: a line takes one, and meets each
     other block under a name that the pair of blocks has in common.
     """
@@ -129,8 +200,9 @@ def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple[int, int]] = {}
+        kinds = classes(counts.value)
         for batch in batches:
-            sets = Sets(batch.column(2).to_pylist(), counts.value)
+            sets = Sets(batch.column(2).to_pylist(), kinds)
             if not sets.lines:
                 continue
             doc = batch.column(0).to_numpy(zero_copy_only=False)[sets.doc]
@@ -163,26 +235,38 @@ def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int
                      (name.astype(np.uint32).view(np.int32), place.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[kept], pa.int64()), pa.array(mark[kept], pa.int64()), pa.array(sets.number[kept]),
-                 pa.array(sets.key[kept]), pa.array(size.astype(np.int32)), pa.array(sets.parity[kept]), *lists],
+                 pa.array(sets.key[kept]), pa.array(size.astype(np.int32)), *(pa.array(x[kept]) for x in sets.parity), *lists],
                 names=_LINES.fieldNames())
 
-    return docs.select("doc", "mark", "text").mapInArrow(run, _LINES)
+    def first_of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            keep = []
+            for at in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "line")), strict=True):
+                keep.append(last is None or at[0] != last[0] or at == last)
+                last = at if keep[-1] else last
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return (docs.select("doc", "mark", "text").mapInArrow(run, _LINES)
+            .repartition("key").sortWithinPartitions("key", "doc", "line").mapInArrow(first_of_key, _LINES))
 
 
 _PAIRS = T.StructType([
     *(T.StructField(c, T.LongType()) for c in ("doc", "line", "key", "doc2", "line2", "key2")),
     T.StructField("more", T.BooleanType())])
-_ENTRY = ["word", "doc", "line", "key", "n", "place", "parity", "probe"]
+_PARITY = ["p0", "p1", "p2", "p3"]
+_ENTRY = ["word", "doc", "line", "key", "n", "place", *_PARITY, "probe"]
 
 
 def earlier_candidates(entry: dict[str, np.ndarray], similarity: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(later, earlier, more) rows among entries sorted by word, doc, line and key.
 
     Every probe is held against the earlier lines of its word from the first on, until
-    ``first`` of them pass the filters (0: all) or one has the same words.
+    ``first`` of them pass the filters (0: all). Sets differ, except for lines of the same
+    number in rows with one id.
     """
-    word, n, place, key = (entry[c] for c in ("word", "n", "place", "key"))
-    parity = entry["parity"].view(np.uint64)
+    word, n, place = (entry[c] for c in ("word", "n", "place"))
+    parity, wide = [entry[c].view(np.uint64) for c in _PARITY], width(n)
     new = np.concatenate([[True], word[1:] != word[:-1]])
     start = np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
     todo = np.flatnonzero(entry["probe"] & ~new)
@@ -195,17 +279,18 @@ def earlier_candidates(entry: dict[str, np.ndarray], similarity: int, first: int
         need = overlap_needed(a, b, similarity)
         ok = np.minimum(a, b) >= need                                                    # length
         ok &= np.minimum(a - place[todo], b - place[other]) + np.minimum(place[todo], place[other]) >= need  # position
-        ok &= np.bitwise_count(parity[todo] ^ parity[other]) <= a + b - 2 * need           # parity of word slots
-        x, y = todo[ok], other[ok]
-        same = (key[x] == key[y]) & (n[x] == n[y])
+        left = np.flatnonzero(ok)
+        x, y = todo[left], other[left]
+        apart = differing([p[x] for p in parity], [p[y] for p in parity], np.minimum(wide[x], wide[y]))
+        left = left[apart <= (a + b - 2 * need)[left]]                                     # parity of word slots
+        x, y = todo[left], other[left]
         full = (found[x] >= first) if first else np.zeros(len(x), dtype=bool)
-        more[x[full & ~same]] = True
-        take = same | ~full
-        later.append(x[take])
-        earlier.append(y[take])
+        more[x[full]] = True
+        later.append(x[~full])
+        earlier.append(y[~full])
         found[x] += 1
         settled = np.zeros(len(todo), dtype=bool)
-        settled[np.flatnonzero(ok)[same | full]] = True
+        settled[left[full]] = True
         todo = todo[~settled]
         step += 1
     none = np.zeros(0, dtype=np.int64)
@@ -213,12 +298,16 @@ def earlier_candidates(entry: dict[str, np.ndarray], similarity: int, first: int
     return x, np.concatenate([none, *earlier]), more[x]
 
 
-def candidates(lines: DataFrame, similarity: int, first: int) -> DataFrame:
-    """Pairs of a line and an earlier one that share a prefix word and pass the filters."""
-    entries = (lines.select("doc", "line", "key", "n", "parity", "probe",
+def candidates(lines: DataFrame, similarity: int, first: int, asked: DataFrame | None = None) -> DataFrame:
+    """Pairs of a line and an earlier one that share a prefix word and pass the filters.
+
+    ``asked``: slots of the words to look at (FILTER_SLOTS rows at most), else all words.
+    """
+    entries = (lines.select("doc", "line", "key", "n", *_PARITY, "probe",
                             F.explode(F.arrays_zip("words", "places")).alias("e"))
-               .select(F.col("e.words").alias("word"), "doc", "line", "key", "n",
-                       F.col("e.places").alias("place"), "parity", "probe"))
+               .select("*", F.col("e.words").alias("word"), F.col("e.places").alias("place")))
+    if asked is not None:
+        entries = entries.withColumn("slot", F.pmod("word", F.lit(FILTER_SLOTS))).join(asked, "slot", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for entry in _whole_words(batches):
@@ -261,10 +350,6 @@ def _entry(parts: list[list[np.ndarray]]) -> dict[str, np.ndarray]:
 
 
 _SET = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc", "line", "key")), T.StructField("words", T.BinaryType())])
-#: Slots of a filter that spares texts without a wanted line the way through the shuffle.
-FILTER_SLOTS = 1 << 20
-
-
 def verified(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
     """The pairs whose word sets, read from the texts again, are similar enough."""
     wanted = stored(pairs.select("doc", "line", "key").union(pairs.select("doc2", "line2", "key2")).distinct(), "wanted")
@@ -275,18 +360,21 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, text, lines in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            doc, numbers, texts_ = [], [], []
+            for d, text, lines in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cut = (text or "").split("\n")
-                numbers = [i for i in lines if i < len(cut)]
-                for i in numbers:
-                    one = Sets([cut[i]])
-                    if one.lines:
-                        out.append((doc, i, int(one.key[0]), np.sort(one.words).tobytes()))
-            if out:
+                for i in lines:
+                    if i < len(cut):
+                        doc.append(d)
+                        numbers.append(i)
+                        texts_.append(cut[i])
+            one = Sets(texts_)
+            if one.lines:
+                words = [np.sort(one.words[a:a + n]).tobytes() for a, n in zip(one.start.tolist(), one.size.tolist(), strict=True)]
+                of = one.doc.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True),
-                     (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=_SET.fieldNames())
+                    [pa.array([doc[i] for i in of], pa.int64()), pa.array([numbers[i] for i in of], pa.int64()),
+                     pa.array(one.key), pa.array(words, pa.binary())], names=_SET.fieldNames())
 
     found = stored(texts.join(by_doc, "doc").select("doc", "text", "lines").mapInArrow(sets, _SET)
                    .dropDuplicates(["doc", "line", "key"]), "line-sets")
@@ -297,7 +385,7 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
             ok = []
             for x, y in zip(a, b, strict=True):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
                 ok.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ok, pa.bool_())],
                                              names=["doc", "line", "key", "similar"])
@@ -318,15 +406,15 @@ def kept_lines(docs: DataFrame, similarity: int = SIMILARITY, group: int = GROUP
     lines = stored(first_lines(docs, rarity, similarity, group), "lines")
     ids = ["doc", "line", "key"]
     pairs = stored(candidates(lines.withColumn("probe", F.lit(True)), similarity, first), "line-pairs")
-    copies = pairs.where("key = key2").select(*ids).distinct()
-    near = pairs.where("key <> key2").join(copies, ids, "left_anti")
-    gone = stored(verified(near, docs, similarity).union(copies).distinct(), "lines-gone")
-    open_ = stored(near.where("more").select(*ids).distinct().join(gone, ids, "left_anti"), "lines-open")
+    gone = stored(verified(pairs, docs, similarity).distinct(), "lines-gone")
+    open_ = stored(pairs.where("more").select(*ids).distinct().join(gone, ids, "left_anti"), "lines-open")
     if not open_.isEmpty():
         asked = lines.join(open_.withColumn("probe", F.lit(True)), ids, "left").withColumn(
             "probe", F.coalesce("probe", F.lit(False)))
-        rest = stored(candidates(asked, similarity, 0), "line-pairs")
-        gone = gone.union(verified(rest.where("key <> key2"), docs, similarity)).distinct()
+        words = asked.where("probe").select(F.explode("words").alias("word"))
+        slots = F.broadcast(words.select(F.pmod("word", F.lit(FILTER_SLOTS)).alias("slot")).distinct())
+        rest = stored(candidates(asked, similarity, 0, slots), "line-pairs")
+        gone = gone.union(verified(rest, docs, similarity)).distinct()
     return (lines.select("doc", "mark", "line", "key").join(gone, ids, "left_anti")
             .groupBy("doc", "mark").agg(F.collect_list("line").alias("kept")))
 
