@@ -10,12 +10,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adlumen.llm.common import fresh, small_batches
+from adlumen.llm.common import fresh, small_batches, stored
 from adlumen.llm.fmindex import FMIndex
 
 WINDOW = 10
 #: Bytes of benchmark text searched in one pass; more text takes more passes.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Words that one shard's index covers at most, and bytes of text (a longer text is alone).
 SHARD_WORDS, SHARD_BYTES = 4_000_000, 32 << 20
 WORD = rb"[0-9a-z\x80-\xff]+"
@@ -144,6 +144,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, into: str, text_col: str = "text
         # as plain values: workers rebuild the object around them
         phrases = spark.sparkContext.broadcast(vars(Phrases([(r.item, r.text) for r in part.collect()], window)))
         out = _pass(out, phrases, into, text_col, block > 0, clean and block == n_blocks - 1)
+        if block < n_blocks - 1:  # one pass at a time, so that workers hold one block
+            out = stored(out, "benchmark-pass")
     return out
 
 
