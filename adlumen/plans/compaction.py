@@ -91,7 +91,7 @@ def stage_compaction(
     staging: str,
     dedup_keys: tuple[str, ...] = ("event_id",),
     order: Column | None = None,
-    limit: int = MAX_PARTITIONS,
+    limit: int | None = None,
     min_mb: int = st.MIN_FILE_MB,
 ) -> DataFrame | None:
     """Read the planned files, drop duplicates, write compacted files to ``staging``.
@@ -99,17 +99,19 @@ def stage_compaction(
     Returns validated outcomes per partition, or None when nothing needs compacting. The
     source is not touched: see :func:`swap_in` for the valid partitions. The number of
     output files of a partition follows from its bytes; rows are spread over them by key.
+    All planned partitions are worked on unless the caller sets a ``limit``.
     """
     order = F.col("timestamp") if order is None else order
-    jobs = first_jobs(plan_jobs(files, min_mb), limit)
-    # bounded by `limit`: only these folders are listed and read
-    prefixes = [r.prefix for r in jobs.select("prefix").collect()]
-    if not prefixes:
+    jobs = plan_jobs(files, min_mb)
+    if limit is not None:
+        jobs = first_jobs(jobs, limit)
+    if jobs.isEmpty():
         return None
     plan = planned_files(files, jobs, min_mb)
+    partitions = with_partition_levels(jobs).select(*EVENT_LAYOUT)
     rows = (
-        spark.read.option("basePath", root).parquet(*prefixes)
-        .withColumn("path", F.col("_metadata.file_path"))
+        spark.read.parquet(root).withColumn("path", F.col("_metadata.file_path"))
+        .join(partitions, EVENT_LAYOUT, "left_semi")
         .join(plan.select(F.col("path"), "output_file_count"), "path")
     )
     # the content hash settles copies with the same time in the same file
@@ -163,13 +165,12 @@ def swap_in(
     means deleting exactly the returned paths: files that were not part of the plan never
     appear. Until then a reader should skip them, so the caller retires them at once.
     """
-    # one row per planned partition of this run
-    valid = F.broadcast(judged.where("is_valid").select(*EVENT_LAYOUT))
+    valid = judged.where("is_valid").select(*EVENT_LAYOUT)
     (
         spark.read.parquet(staging).join(valid, EVENT_LAYOUT, "left_semi")
         .hint("rebalance", *EVENT_LAYOUT)
         .write.mode("append").option("compression", "snappy").partitionBy(*EVENT_LAYOUT).parquet(root)
     )
     return files.where(st.needs_merge(F.col("size"), min_mb)).join(
-        F.broadcast(judged.where("is_valid").select("prefix")), "prefix", "left_semi"
+        judged.where("is_valid").select("prefix"), "prefix", "left_semi"
     ).select("path", "size")

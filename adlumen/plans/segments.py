@@ -155,14 +155,18 @@ def memberships(tiers: DataFrame, computed_at: Column) -> DataFrame:
 
 def run_daily_segmentation(
     spark: SparkSession, events: DataFrame, day: dt.date, root: str, staging_root: str,
-    force_full: bool = False, min_total: int = 1000,
+    force_full: bool = False, min_total: int = 1000, separate_cant_lose: bool = False,
+    required: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Update the per-day state, recompute tiers, export memberships.
+    """Update the per-day state, recompute tiers, validate them and export memberships.
 
-    Mondays (or ``force_full``) rebuild all 90 days, other days the last 7. Returns the
-    one-row segment validation.
+    The first run, Mondays and ``force_full`` rebuild all 90 days, other days the last 7.
+    Every tier that the tier order can give is required unless the caller names others.
+    Invalid segments are not exported; the ledger tells. Returns the one-row validation.
     """
-    full = force_full or day.weekday() == 0
+    if required is None:
+        required = tuple(t for t in RFM_TIERS if separate_cant_lose or t != "cant_lose")
+    full = force_full or day.weekday() == 0 or not tables.exists(spark, f"{root}/user-days")
     since = day - dt.timedelta(days=LOOKBACK_DAYS if full else PATCH_DAYS)
     ts = F.col("timestamp")
     recent = events.where((ts >= F.lit(since).cast("timestamp")) & (ts < F.lit(day).cast("timestamp")))
@@ -179,19 +183,23 @@ def run_daily_segmentation(
     features_root, tiers_root = f"{root}/user-features", f"{root}/segments"
     features = with_engagement(user_features(state, day)).withColumn("date", F.lit(day))
     tables.write_partitioned(features, features_root, ["date"])
-    users = qualified(spark.read.parquet(features_root).where(F.col("date") == F.lit(day)))
-    tables.write_partitioned(with_rfm(users, rfm_cuts(users)), tiers_root, ["date"])
+    users = qualified(spark.read.schema(features.schema).parquet(features_root).where(F.col("date") == F.lit(day)))
+    tables.write_partitioned(with_rfm(users, rfm_cuts(users), separate_cant_lose), tiers_root, ["date"])
     tiers = spark.read.parquet(tiers_root).where(F.col("date") == F.lit(day))
 
-    computed_at = F.lit(day).cast("timestamp")
-    tables.write_memberships(
-        tables.membership_entries(memberships(tiers, computed_at), computed_at),
-        f"{root}/memberships", day,
-    )
     sizes = segment_sizes(tiers)
+    checks = segment_checks(sizes, required, min_total)
+    valid = checks.head().is_valid
+    if valid:
+        computed_at = F.lit(day).cast("timestamp")
+        tables.write_memberships(
+            tables.membership_entries(memberships(tiers, computed_at), computed_at),
+            f"{root}/memberships", day,
+        )
     measures = sizes.agg(F.sum("users").alias("users"), F.count("*").alias("segments"))
     tables.append_ledger(
-        tables.ledger_entry(measures, "segmentation", day, dt.datetime.combine(day, dt.time())),
+        tables.ledger_entry(measures, "segmentation", day, dt.datetime.combine(day, dt.time()),
+                            status="complete" if valid else "invalid"),
         f"{root}/ledger",
     )
-    return segment_checks(sizes, RFM_TIERS, min_total)
+    return checks

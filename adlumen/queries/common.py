@@ -75,7 +75,8 @@ def query(registry: dict) -> Callable:
 
 # ---- SQL pieces --------------------------------------------------------------
 
-AD = """ad AS (
+#: All rows of the log; reports take those of a known type.
+ALL_AD = """ad AS (
   SELECT event_id,
          CASE event_type WHEN 'view' THEN 'impression' WHEN 'purchase' THEN 'conversion'
                          WHEN 'signup' THEN 'engagement' ELSE event_type END AS event_type,
@@ -84,8 +85,9 @@ AD = """ad AS (
          coalesce(k // 10, -1) AS campaign_id, coalesce(k // 20, -1) AS advertiser_id,
          CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS revenue,
          CASE WHEN event_type IN ('view', 'click') THEN value * 0.01 ELSE 0 END AS cost
-  FROM (SELECT *, CAST(props ->> '$.k' AS BIGINT) AS k FROM events)
-  WHERE event_type IN ('view', 'click', 'purchase', 'signup'))"""
+  FROM (SELECT *, CAST(props ->> '$.k' AS BIGINT) AS k FROM events))"""""
+
+AD = ALL_AD.removesuffix(")") + "\n  WHERE event_type IN ('view', 'click', 'purchase', 'signup'))"
 
 COUNTS = """count(*) FILTER (event_type = 'impression') AS impressions,
        count(*) FILTER (event_type = 'click') AS clicks,

@@ -12,7 +12,7 @@ from adlumen.functions import storage as st
 from adlumen.functions.times import age_days
 from adlumen.operators import dedup, joins
 from adlumen.plans import compaction, ingest, tiering
-from adlumen.queries.common import AD, FILE_REFERENCE, joined, query, rounded
+from adlumen.queries.common import AD, ALL_AD, FILE_REFERENCE, joined, query, rounded
 from adlumen.schemas import PARTITIONED_EVENT_TYPES
 from adlumen.session import shared_dir
 from adlumen.sinks import tables
@@ -76,13 +76,13 @@ SQL["finished_partitions"] = f"WITH {AD}, {_EXPECTED} SELECT * FROM expected INT
 @query(QUERIES)
 def partition_paths(spark, folder):
     """Full path of every partition of the log, with its rows."""
-    events = ingest.with_levels(log.ad_events(spark, folder))
+    events = ingest.with_levels(log.all_events(spark, folder))
     counts = events.groupBy(*_LEVELS).agg(F.count("*").alias("rows"))
     prefix = st.partition_prefix(*[F.col(c) for c in _LEVELS])
     return counts.select(prefix.alias("prefix"), st.partition_uri("lake", prefix).alias("uri"), "rows")
 
 
-SQL["partition_paths"] = f"""WITH {AD},
+SQL["partition_paths"] = f"""WITH {ALL_AD},
 p AS (SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') || '/event_type=' || event_type AS prefix FROM ad)
 SELECT prefix, 's3://lake/events/' || prefix || '/' AS uri, count(*) AS rows FROM p GROUP BY ALL"""
 
@@ -94,19 +94,40 @@ def repartition_verified(spark, folder):
     The log has few rows per hour; the hourly layout would cost one file for each.
     """
     levels = ["year", "month", "day", "event_type"]
-    events = ingest.with_levels(log.ad_events(spark, folder))
+    events = ingest.with_levels(log.all_events(spark, folder))
     root = shared_dir(spark, "events")
     tables.write_partitioned(events, root, levels)
     return joins.compare_counts(events, spark.read.parquet(root), levels)
 
 
-SQL["repartition_verified"] = f"""WITH {AD}
+SQL["repartition_verified"] = f"""WITH {ALL_AD}
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
   event_type, count(*) AS input_rows, count(*) AS output_rows,
   CAST(1 AS DOUBLE) AS processing_ratio, true AS verified
 FROM ad GROUP BY ALL"""
 
 
+@query(QUERIES)
+def ingest_accounting(spark, folder):
+    """Every row of the log judged for ingest: landed = stored + quarantined, with the reasons."""
+    rows = ingest.judged(log.all_events(spark, folder))
+    reasons = ("unknown_event_type", "unknown_device_type")
+    by = ["year", "month", "day", "event_type"]
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("landed"),
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in (ingest.STORED, ingest.QUARANTINED)],
+        *[F.count_if(F.array_contains("errors", r)).alias(r) for r in reasons])
+
+
+SQL["ingest_accounting"] = f"""WITH {ALL_AD},
+j AS (SELECT *, event_type NOT IN ('impression', 'click', 'conversion', 'engagement') AS bad_type,
+  coalesce(user_id % 5 = 4, false) AS bad_device FROM ad)
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+  event_type, count(*) AS landed, count(*) FILTER (NOT (bad_type OR bad_device)) AS stored,
+  count(*) FILTER (bad_type OR bad_device) AS quarantined, count(*) FILTER (bad_type) AS unknown_event_type,
+  count(*) FILTER (bad_device) AS unknown_device_type FROM j GROUP BY ALL"""
+
+
 @query(QUERIES)
 def partition_stats(spark, folder):
     sizes = inventory.partition_sizes(log.stored_files(spark, folder))
@@ -285,22 +306,22 @@ def _with_copies(events):
 
 @query(QUERIES)
 def dedup_events(spark, folder):
-    rows = _with_copies(log.ad_events(spark, folder))
+    rows = _with_copies(log.all_events(spark, folder))
     kept = dedup.drop_duplicates(rows, ["event_id"], [F.col("timestamp"), F.col("copy")])
     return rounded(kept.select("event_id", "event_type", "ad_id", "revenue", "cost"))
 
 
-SQL["dedup_events"] = f"""WITH {AD}
+SQL["dedup_events"] = f"""WITH {ALL_AD}
 SELECT event_id, event_type, ad_id, round(revenue, 6) AS revenue, round(cost, 6) AS cost FROM ad"""
 
 
 @query(QUERIES)
 def dedup_accounting(spark, folder):
-    rows = ingest.with_levels(_with_copies(log.ad_events(spark, folder)))
+    rows = ingest.with_levels(_with_copies(log.all_events(spark, folder)))
     return rounded(dedup.duplicate_accounting(rows, ["event_id"], ["year", "month", "day", "event_type"]))
 
 
-SQL["dedup_accounting"] = f"""WITH {AD},
+SQL["dedup_accounting"] = f"""WITH {ALL_AD},
 d AS (SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
   CAST(day(ts) AS INTEGER) AS day, event_type, count(*) + count(*) FILTER (event_id % 50 = 0) AS input_rows,
   count(*) AS output_rows, count(*) FILTER (event_id % 50 = 0) AS duplicates_removed FROM ad GROUP BY ALL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adlumen.queries.common import AD, COUNTS, query, rounded
+from adlumen.queries.common import AD, ALL_AD, COUNTS, query, rounded
 from adlumen.session import shared_dir
 from adlumen.sources import eventlog as log
 from adlumen.streaming import events as streaming
@@ -13,10 +13,10 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def _stream(spark, folder):
+def _stream(spark, folder, known_types=False):
     schema = log.table(spark, folder, "events").schema
     rows = streaming.read_stream(spark, folder, schema, pathGlobFilter="events.parquet")
-    return log.ad_columns(rows.where(F.col("event_type").isin(*log.LOG_EVENT_TYPES)))
+    return log.ad_columns(rows.where(F.col("event_type").isin(*log.LOG_EVENT_TYPES)) if known_types else rows)
 
 
 def _run(spark, stream, purpose, partition_by=None):
@@ -34,7 +34,7 @@ def stream_ingest(spark, folder):
     return written.groupBy(*levels).agg(F.count("*").alias("rows"))
 
 
-SQL["stream_ingest"] = f"""WITH {AD}
+SQL["stream_ingest"] = f"""WITH {ALL_AD}
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
   event_type, count(*) AS rows FROM ad GROUP BY ALL"""
 
@@ -48,14 +48,14 @@ def stream_dedup(spark, folder):
     return rounded(kept.select("event_id", "event_type", "ad_id", "revenue", "cost"))
 
 
-SQL["stream_dedup"] = f"""WITH {AD}
+SQL["stream_dedup"] = f"""WITH {ALL_AD}
 SELECT event_id, event_type, ad_id, round(revenue, 6) AS revenue, round(cost, 6) AS cost FROM ad"""
 
 
 @query(QUERIES)
 def stream_window_counts(spark, folder):
     """24-hour windows every hour per advertiser, as far as the watermark has closed them."""
-    counts = streaming.sliding_counts(_stream(spark, folder), ["advertiser_id"], "2 hours")
+    counts = streaming.sliding_counts(_stream(spark, folder, known_types=True), ["advertiser_id"], "2 hours")
     out = _run(spark, counts, "windows")
     return rounded(out.withColumns({
         c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("window_start", "window_end")}))

@@ -78,6 +78,11 @@ def membership_entries(members: DataFrame, computed_at: Column, ttl_seconds: int
     )
 
 
+def exists(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def write_memberships(entries: DataFrame, root: str, day: dt.date) -> None:
     write_partitioned(entries.withColumn("date", F.lit(f"{day:%Y-%m-%d}")), root, ["date"])
 
@@ -99,9 +104,8 @@ def upsert_daily(
     can still recompute its part from either table.
     """
     staging = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
     merged = updates
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if exists(spark, root):
         # the declared types keep the partition column a date on both sides
         current = spark.read.schema(updates.schema).parquet(root)
         touched = updates.select(date_column).distinct()

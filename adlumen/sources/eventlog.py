@@ -56,16 +56,24 @@ def ad_columns(log: DataFrame) -> DataFrame:
     )
 
 
+def all_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the log, with the hierarchy filled in."""
+    return _with_hierarchy(ad_columns(table(spark, folder, "events")))
+
+
+def _with_hierarchy(events: DataFrame) -> DataFrame:
+    return events.withColumns({c: F.coalesce(c, F.lit(UNKNOWN_ID)) for c in HIERARCHY})
+
+
 def ad_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of a known type, with the hierarchy filled in.
+    """Events of a known type, for reports, with the hierarchy filled in.
 
     An event without an ad belongs to ad -1. With ids that cannot be NULL a join adds no
     null filter of its own, so branches of a plan stay alike and can share a shuffle, and
     the payload is parsed once per row.
     """
     log = table(spark, folder, "events")
-    known = ad_columns(log.where(F.col("event_type").isin(*LOG_EVENT_TYPES)))
-    return known.withColumns({c: F.coalesce(c, F.lit(UNKNOWN_ID)) for c in HIERARCHY})
+    return _with_hierarchy(ad_columns(log.where(F.col("event_type").isin(*LOG_EVENT_TYPES))))
 
 
 def ad_names(spark: SparkSession, folder: str) -> DataFrame:

@@ -38,9 +38,9 @@ def landed(spark):
 
 def test_partitioning_is_idempotent(spark, landed, tmp_path):
     root = str(tmp_path)
-    verified = ingest.run_partitioning(spark, landed, DAY, root, NOON, ("impression", "click")).collect()
-    assert len(verified) == 47 and all(r.verified for r in verified)
-    assert sum(r.output_rows for r in verified) == 47  # one of them in quarantine
+    verified = ingest.run_partitioning(spark, landed, DAY, root, NOON).collect()
+    assert len(verified) == 48 and all(r.verified for r in verified)
+    assert sum(r.output_rows for r in verified) == 48  # two of them in quarantine
     rejected = spark.read.parquet(f"{root}/quarantine").orderBy("event_id").collect()
     assert [(r.event_id, r.errors) for r in rejected] == [
         ("7", ["negative_revenue"]), ("9", ["unknown_event_type"])]
@@ -52,13 +52,50 @@ def test_partitioning_is_idempotent(spark, landed, tmp_path):
     files = sorted(p for p in Path(root, "events").rglob("*.parquet"))
     done = inventory.listed_partitions(inventory.list_files(spark, f"{root}/events"))
     assert done.exceptAll(ingest.existing_partitions(spark.read.parquet(f"{root}/events"))).count() == 0
-    again = ingest.run_partitioning(spark, landed, DAY, root, NOON, ("impression", "click"), done)
-    # the one partition without a valid row is still unfinished, but nothing is written
-    assert [(r.hour, r.event_type) for r in again.collect()] == [(3, "click")]
+    again = ingest.run_partitioning(spark, landed, DAY, root, NOON, done).collect()
+    # all rows are found stored or refused, and nothing is written
+    assert len(again) == 48 and all(r.verified for r in again)
     assert sorted(p for p in Path(root, "events").rglob("*.parquet")) == files
 
     ledger = spark.read.parquet(f"{root}/ledger").collect()
-    assert sorted(r.metrics["partitions"] for r in ledger) == [1.0, 47.0]
+    assert [(r.metrics["partitions"], r.metrics["rows"], r.status) for r in ledger] == [(48.0, 48.0, "complete")] * 2
+
+
+def test_partitioning_loses_no_row(spark, landed, tmp_path):
+    root = str(tmp_path)
+    changed = landed.withColumns({
+        "event_type": F.expr("CASE event_id WHEN '2' THEN 'view' WHEN '4' THEN 'engagement' ELSE event_type END"),
+        "timestamp": F.expr("CASE event_id WHEN '6' THEN timestamp - INTERVAL 1 DAY WHEN '8' THEN NULL ELSE timestamp END")})
+    verified = ingest.run_partitioning(spark, changed, DAY, root, NOON).collect()
+    assert all(r.verified for r in verified) and sum(r.input_rows for r in verified) == 48
+    stored = spark.read.parquet(f"{root}/events")
+    assert stored.where("event_type IN ('view', 'engagement')").count() == 2 and stored.count() == 44
+    refused = {r.event_id: r.errors for r in spark.read.parquet(f"{root}/quarantine").collect()}
+    assert refused == {"6": ["outside_day"], "7": ["negative_revenue"], "8": ["missing_timestamp"], "9": ["unknown_event_type"]}
+
+
+def test_partitioning_of_clean_refused_and_shrinking_days(spark, landed, tmp_path):
+    root = str(tmp_path)
+    clean = landed.where("event_id NOT IN ('7', '9')")
+    assert all(r.verified for r in ingest.run_partitioning(spark, clean, DAY, root, NOON).collect())
+    assert spark.read.parquet(f"{root}/events").count() == 46 and spark.read.parquet(f"{root}/quarantine").count() == 0
+    # a rerun over fewer rows leaves nothing stale
+    assert all(r.verified for r in ingest.run_partitioning(spark, clean.where("hour(timestamp) < 2"), DAY, root, NOON).collect())
+    assert spark.read.parquet(f"{root}/events").count() == 4
+    bad = landed.where("event_id IN ('7', '9')")
+    assert all(r.verified for r in ingest.run_partitioning(spark, bad, DAY, root, NOON).collect())
+    assert not list(Path(root, "events").rglob("*.parquet")) and spark.read.parquet(f"{root}/quarantine").count() == 2
+
+
+def test_partitioning_of_user_actions(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("1", "u", "a", "c", "v", "buy", NOON, None, None, None, None, None, None, None),
+         ("2", "u", "a", "c", "v", "buy", NOON, None, None, None, -1.0, None, None, None)], S.USER_ACTION)
+    root = str(tmp_path)
+    verified = ingest.run_partitioning(spark, rows, DAY, root, NOON, kind=ingest.USER_ACTIONS).collect()
+    assert [(r.event_type, r.hour, r.input_rows, r.verified) for r in verified] == [("buy", 12, 2, True)]
+    stored = spark.read.parquet(f"{root}/events").head()
+    assert (stored.attribution_window_days, stored.currency, stored.revenue_value) == (7, "USD", 0.0)
 
 
 def test_reads_prune_partitions(spark, landed, tmp_path):
@@ -239,19 +276,22 @@ def test_daily_segmentation(spark, small, tmp_path):
     root = str(tmp_path)
     events = log.ad_events(spark, small)
     first, second = dt.date(2024, 1, 29), dt.date(2024, 1, 30)  # a Monday, then a Tuesday
-    checks = segments.run_daily_segmentation(spark, events, first, root, root, min_total=5).head()
-    assert checks.total_users > 0 and not checks.too_few_users
-    segments.run_daily_segmentation(spark, events, second, root, root, min_total=5)
+    checks = segments.run_daily_segmentation(spark, events, first, root, root, min_total=10**9).head()
+    assert checks.total_users > 0 and checks.too_few_users and not checks.is_valid
+    assert not Path(root, "memberships").exists()  # invalid segments are not exported
+    segments.run_daily_segmentation(spark, events, first, root, root, min_total=5, required=())
+    segments.run_daily_segmentation(spark, events, second, root, root, min_total=5, required=())
     incremental = spark.read.parquet(f"{root}/segments").where(F.col("date") == F.lit(second))
     rebuilt_root = str(tmp_path / "full")
-    segments.run_daily_segmentation(spark, events, second, rebuilt_root, root, force_full=True, min_total=5)
+    # a first run is a full one on any day
+    segments.run_daily_segmentation(spark, events, second, rebuilt_root, root, min_total=5, required=())
     rebuilt = spark.read.parquet(f"{rebuilt_root}/segments")
     columns = ["user_id", "rfm_score", "tier", "click_count_90d"]
     assert sorted(map(tuple, incremental.select(columns).collect())) == sorted(
         map(tuple, rebuilt.select(columns).collect()))
     entries = spark.read.parquet(f"{root}/memberships")
     assert entries.where("key LIKE 'segment:user:%' AND ttl_seconds = 86400").count() == entries.count()
-    assert spark.read.parquet(f"{root}/ledger").count() == 2
+    assert sorted(r.status for r in spark.read.parquet(f"{root}/ledger").collect()) == ["complete", "complete", "invalid"]
 
 
 def test_gzip_export(spark, tmp_path):
