@@ -81,6 +81,21 @@ def op8_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(rows.unionByName(odd), TOKENIZER))
 
 
+#: Marks and escapes of the template, counted.
+_MARK_CHARS = len(chat.TURN) + len(chat.BODY) + len(chat.END)
+_ESCAPES = r"len(regexp_extract_all({}, '<\\*\||<\\*/?s>|\[\\*/?INST\]'))"
+SQL["op8_chat_masks"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(text) + {_MARK_CHARS} + {_ESCAPES.format("role")} + {_ESCAPES.format("text")}) AS BIGINT)
+    AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
 @query
 def op9_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages of ten words or more in all documents."""
@@ -91,3 +106,21 @@ def op9_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data and secrets."""
     return pii.report(table(spark, sf_dir, "documents"), key="op10")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '" + r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+" + "')"
+SQL["op9_benchmark_hits"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least({decontaminate.WINDOW}, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+      FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+s AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)),
+h AS (SELECT r, i, n, item_id FROM s JOIN p USING (n, s)),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM h) GROUP BY r),
+item AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+         FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
