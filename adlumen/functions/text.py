@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Linear-time pattern: one character class before the @, no nested repeat.
-EMAIL_PATTERN = r"^[A-Za-z0-9_.+-]+@([A-Za-z0-9-]+\.)+[A-Za-z]{2,}$"
+# An address: dotted words before the @, none empty; after it labels that neither start nor
+# end with a hyphen, the last of letters alone. No part can be read in two ways, so matching
+# takes linear time.
+EMAIL_PATTERN = (
+    r"^[0-9A-Za-z_+-]+(\.[0-9A-Za-z_+-]+)*@([0-9A-Za-z]+(-+[0-9A-Za-z]+)*\.)+[A-Za-z]{2,}$"
+)
+EMAIL_LOCAL_LENGTH = 64
 
 
 def is_email(text: Column) -> Column:
-    return text.rlike(EMAIL_PATTERN)
+    local = F.substring_index(text, "@", 1)
+    return text.rlike(EMAIL_PATTERN) & (F.length(local) <= EMAIL_LOCAL_LENGTH)
 
 
 def metric_name(metric: Column, tags: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adlumen.functions.rates import ratio
 
+# Columns graded by default; the limits of the grades are in null_grades.
 GRADED_COLUMNS = ("user_id", "campaign_id", "ad_id", "event_type", "amount")
 
 

@@ -25,14 +25,19 @@ def ranked_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int)
     return df.withColumn("rank", place).where(F.col("rank") <= k)
 
 
-def period_over_period(df: DataFrame, keys: list[str], period: str, metrics: list[str]) -> DataFrame:
-    """Previous value, change and relative change of each metric, per key."""
+def period_over_period(df: DataFrame, keys: list[str], period: str, metrics: list[str],
+                       step: str = "INTERVAL 1 DAY") -> DataFrame:
+    """Value one ``step`` earlier, change and relative change of each metric, per key.
+
+    Where that period has no row, the value before and both changes are unknown (NULL).
+    """
     w = Window.partitionBy(*keys).orderBy(period)
-    added: dict[str, Column] = {f"prev_{m}": F.lag(m, 1).over(w) for m in metrics}
-    out = df.withColumns(added)
+    adjacent = F.lag(period, 1).over(w) == F.col(period) - F.expr(step)
+    out = df.withColumns({f"prev_{m}": F.when(adjacent, F.lag(m, 1).over(w)) for m in metrics})
+    change = {m: F.col(m) - F.col(f"prev_{m}") for m in metrics}
     return out.withColumns(
-        {f"{m}_change": F.col(m) - F.col(f"prev_{m}") for m in metrics}
-        | {f"{m}_change_pct": ratio(F.col(m) - F.col(f"prev_{m}"), F.col(f"prev_{m}"))
+        {f"{m}_change": change[m] for m in metrics}
+        | {f"{m}_change_pct": F.when(F.col(f"prev_{m}").isNotNull(), ratio(change[m], F.col(f"prev_{m}")))
            for m in metrics}
     )
 

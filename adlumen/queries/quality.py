@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from adlumen import schemas as S
-from adlumen.functions.text import EMAIL_PATTERN, is_email
+from adlumen.functions.text import EMAIL_LOCAL_LENGTH, EMAIL_PATTERN, is_email
 from adlumen.operators import quality as ops, validation as val
 from adlumen.queries.common import AD, joined, query, rounded
 from adlumen.sinks.tables import ledger_entry, ledger_gauges
@@ -252,7 +252,8 @@ def email_check(spark, folder):
 
 
 SQL["email_check"] = rf"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word FROM documents)
-SELECT doc_id, word, regexp_matches(word, '{EMAIL_PATTERN}') AS is_valid FROM w WHERE contains(word, '@')"""
+SELECT doc_id, word, regexp_matches(word, '{EMAIL_PATTERN}')
+  AND length(split_part(word, '@', 1)) <= {EMAIL_LOCAL_LENGTH} AS is_valid FROM w WHERE contains(word, '@')"""
 
 
 @query(QUERIES)

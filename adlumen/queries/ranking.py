@@ -10,8 +10,7 @@ from adlumen.operators.aggregate import hourly_counts
 from adlumen.operators.windows import rolling_hours
 from adlumen.plans import ranking as plan
 from adlumen.queries.common import AD, COUNTS, joined, query, rounded, sql_ratio
-from adlumen.schemas import FEATURE_NAMES
-from adlumen.sinks.tables import feature_metadata as describe_features
+from adlumen.schemas import FEATURE_NAMES, FEATURE_VERSION
 from adlumen.sources import eventlog as log
 
 QUERIES: dict = {}
@@ -223,14 +222,16 @@ SELECT ad_id, CAST(CAST(anchor AS DATE) AS VARCHAR) AS anchor, round(ctr_24h, 6)
 
 @query(QUERIES)
 def feature_metadata(spark, folder):
-    """The record stored next to the vectors."""
-    hour = dt.datetime(2024, 1, 31)
-    out = describe_features(_daily_counts(spark, folder, "ad_id"), hour, hour)
-    return out.withColumn("feature_names", F.array_join("feature_names", ","))
-
-
-SQL["feature_metadata"] = f"""WITH {AD}
-SELECT 'v1' AS feature_version, '2024-01-31T00:00:00' AS computation_hour,
-       count(*) AS ads_count, '2024-01-31T00:00:00' AS export_timestamp,
-       '{",".join(FEATURE_NAMES)}' AS feature_names
-FROM (SELECT DISTINCT ad_id, CAST(ts AS DATE) FROM ad)"""
+    """The record of each daily run: the ads its vectors describe."""
+    runs = _daily_counts(spark, folder, "ad_id").groupBy("anchor").agg(F.count("*").alias("ads_count"))
+    hour = F.date_format("anchor", "yyyy-MM-dd'T'HH:mm:ss")
+    return runs.select(
+        F.lit(FEATURE_VERSION).alias("feature_version"), hour.alias("computation_hour"), "ads_count",
+        hour.alias("export_timestamp"), F.lit(",".join(FEATURE_NAMES)).alias("feature_names"))
+
+
+SQL["feature_metadata"] = f"""WITH {AD},
+r AS (SELECT DISTINCT ad_id, CAST(ts AS DATE) + 1 AS anchor FROM ad)
+SELECT 'v1' AS feature_version, strftime(anchor, '%Y-%m-%dT00:00:00') AS computation_hour, count(*) AS ads_count,
+       strftime(anchor, '%Y-%m-%dT00:00:00') AS export_timestamp, '{",".join(FEATURE_NAMES)}' AS feature_names
+FROM r GROUP BY anchor"""

@@ -190,14 +190,14 @@ _POP = ", ".join(
     for m in ("impressions", "spend", "revenue")
     for e, n in [
         ("round(prev_{m}, 6)", "prev_{m}"), ("round({m} - prev_{m}, 6)", "{m}_change"),
-        ("round(" + sql_ratio("({m} - prev_{m})", "prev_{m}") + ", 6)", "{m}_change_pct"),
+        ("CASE WHEN prev_{m} IS NOT NULL THEN round(" + sql_ratio("({m} - prev_{m})", "prev_{m}") + ", 6) END",
+         "{m}_change_pct"),
     ]
 )
 SQL["period_comparison"] = f"""WITH {AD},
 d AS (SELECT campaign_id, CAST(ts AS DATE) AS report_date, {COUNTS} FROM ad GROUP BY ALL),
-w AS (SELECT *, lag(impressions) OVER p AS prev_impressions, lag(spend) OVER p AS prev_spend,
-       lag(revenue) OVER p AS prev_revenue
-      FROM d WINDOW p AS (PARTITION BY campaign_id ORDER BY report_date))
+w AS (SELECT d.*, b.impressions AS prev_impressions, b.spend AS prev_spend, b.revenue AS prev_revenue
+      FROM d LEFT JOIN d AS b ON d.campaign_id = b.campaign_id AND d.report_date = b.report_date + 1)
 SELECT campaign_id, CAST(report_date AS VARCHAR) AS report_date, CAST(impressions AS DOUBLE) AS impressions, round(spend, 6) AS spend, round(revenue, 6) AS revenue,
        {_POP} FROM w"""
 

@@ -7,7 +7,7 @@ dropped and shows up in the query progress as rows dropped by watermark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from adlumen.functions import storage as st
@@ -46,8 +46,32 @@ def sliding_counts(
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped for coming after the watermark, over all batches of all queries.
+
+    Register with ``spark.streams.addListener`` before the query starts. A query's own
+    progress reports cover its latest batches only.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.rows.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.rows[str(event.progress.id)] = self.rows.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far in the reported batches because they came after the watermark."""
+    """Rows dropped in the batches that the query still reports; see :class:`LateRows` for all."""
     return sum(
         int(operator["numRowsDroppedByWatermark"])
         for progress in query.recentProgress for operator in progress["stateOperators"]
@@ -79,5 +103,7 @@ def write_stream(
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
 
-def ingest(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    return write_stream(to_partitioned_events(events), root, checkpoint, EVENT_LAYOUT)
+def ingest(events: DataFrame, root: str, checkpoint: str, files_per_partition: int = 8) -> StreamingQuery:
+    """Rows of one hour and type, often all of a batch, go to several tasks."""
+    spread = to_partitioned_events(events, files_per_partition=files_per_partition)
+    return write_stream(spread, root, checkpoint, EVENT_LAYOUT)
