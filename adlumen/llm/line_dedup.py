@@ -38,7 +38,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _IS_SPACE = np.zeros(256, dtype=np.int8)
 _IS_SPACE[list(b" \t\n\v\f\r")] = 1
 #: Multiplier of the word hashes, and texts hashed together (bytes; a longer one is alone).
-_BASE, _BLOCK = 0x9E3779B97F4A7C15, 1 << 18
+_BASE, _BLOCK = 0x9E3779B97F4A7C15, 1 << 16
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -186,7 +186,7 @@ def rarities(docs: DataFrame) -> np.ndarray:
 _LINES = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("line", T.LongType()),
     T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), *(T.StructField(f"p{k}", T.LongType()) for k in range(4)),
-    T.StructField("words", T.ArrayType(T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType()))])
+    T.StructField("prefix", T.ArrayType(T.LongType()))])  # name of a word << 32 | its place
 
 
 def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int = GROUP) -> DataFrame:
@@ -208,8 +208,10 @@ def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int
             doc = batch.column(0).to_numpy(zero_copy_only=False)[sets.doc]
             mark = batch.column(1).to_numpy(zero_copy_only=False)[sets.doc]
             kept = []
-            for i in np.lexsort((sets.number, doc)).tolist():
-                key, at = int(sets.key[i]), (int(doc[i]), int(sets.number[i]))
+            order = np.lexsort((sets.number, doc))
+            lines = zip(order.tolist(), sets.key[order].tolist(), doc[order].tolist(), sets.number[order].tolist(), strict=True)
+            for i, key, d, number in lines:
+                at = (d, number)
                 if key not in seen or at < seen[key]:
                     seen[key] = at
                     kept.append(i)
@@ -231,11 +233,11 @@ def first_lines(docs: DataFrame, rarity: np.ndarray, similarity: int, group: int
             low, high = np.minimum(own, other), np.maximum(own, other)
             name = (word ^ (low * blocks + high).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
             ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(kept)))]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in
-                     (name.astype(np.uint32).view(np.int32), place.astype(np.int32))]
+            packed = (name << np.uint64(32) | place.astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[kept], pa.int64()), pa.array(mark[kept], pa.int64()), pa.array(sets.number[kept]),
-                 pa.array(sets.key[kept]), pa.array(size.astype(np.int32)), *(pa.array(x[kept]) for x in sets.parity), *lists],
+                 pa.array(sets.key[kept]), pa.array(size.astype(np.int32)), *(pa.array(x[kept]) for x in sets.parity),
+                 pa.ListArray.from_arrays(ends, pa.array(packed))],
                 names=_LINES.fieldNames())
 
     def first_of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,9 +305,8 @@ def candidates(lines: DataFrame, similarity: int, first: int, asked: DataFrame |
 
     ``asked``: slots of the words to look at (FILTER_SLOTS rows at most), else all words.
     """
-    entries = (lines.select("doc", "line", "key", "n", *_PARITY, "probe",
-                            F.explode(F.arrays_zip("words", "places")).alias("e"))
-               .select("*", F.col("e.words").alias("word"), F.col("e.places").alias("place")))
+    entries = (lines.select("doc", "line", "key", "n", *_PARITY, "probe", F.explode("prefix").alias("e"))
+               .select("*", F.shiftright("e", 32).cast("int").alias("word"), F.expr("CAST(e & 4294967295L AS INT)").alias("place")))
     if asked is not None:
         entries = entries.withColumn("slot", F.pmod("word", F.lit(FILTER_SLOTS))).join(asked, "slot", "left_semi")
 
@@ -318,7 +319,7 @@ def candidates(lines: DataFrame, similarity: int, first: int, asked: DataFrame |
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, more[at:at + (1 << 17)])],
                                                  names=_PAIRS.fieldNames())
 
-    met = entries.select(*_ENTRY).repartition("word").sortWithinPartitions("word", "doc", "line", "key")
+    met = entries.select(*_ENTRY).repartition("word").sortWithinPartitions("word")
     # a pair may meet under several words, and is settled once
     return (met.mapInArrow(run, _PAIRS).groupBy("doc", "line", "key", "doc2", "line2", "key2")
             .agg(F.max("more").alias("more")).where("doc <> doc2 OR line <> line2"))
@@ -344,6 +345,8 @@ def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
 
 def _entry(parts: list[list[np.ndarray]]) -> dict[str, np.ndarray]:
     cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    order = np.lexsort([cols[_ENTRY.index(c)] for c in ("key", "line", "doc", "word")])
+    cols = [c[order] for c in cols]
     out = dict(zip(_ENTRY, cols, strict=True))
     out["n"], out["place"] = out["n"].astype(np.int64), out["place"].astype(np.int64)
     return out
@@ -411,7 +414,7 @@ def kept_lines(docs: DataFrame, similarity: int = SIMILARITY, group: int = GROUP
     if not open_.isEmpty():
         asked = lines.join(open_.withColumn("probe", F.lit(True)), ids, "left").withColumn(
             "probe", F.coalesce("probe", F.lit(False)))
-        words = asked.where("probe").select(F.explode("words").alias("word"))
+        words = asked.where("probe").select(F.explode("prefix").alias("e")).select(F.shiftright("e", 32).cast("int").alias("word"))
         slots = F.broadcast(words.select(F.pmod("word", F.lit(FILTER_SLOTS)).alias("slot")).distinct())
         rest = stored(candidates(asked, similarity, 0, slots), "line-pairs")
         gone = gone.union(verified(rest, docs, similarity)).distinct()
@@ -449,7 +452,7 @@ def deduplicated(docs: DataFrame, into: str, id_col: str = "doc_id", text_col: s
             out = []
             for text, keep in zip(batch.column(at).to_pylist(), batch.column(len(fields)).to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []
-                worded = {i for i, x in enumerate(lines) if x.encode().split()}
+                worded = {i for i, x in enumerate(lines) if x.strip(" \t\n\v\f\r")}
                 go = worded - set(keep or ())
                 left = "\n".join(x for i, x in enumerate(lines) if i not in go) if text is not None else None
                 out.append({"lines": len(worded), "removed": len(go), "text": left})
