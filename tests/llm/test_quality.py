@@ -21,15 +21,15 @@ def test_same_rows_as_sql(spark, tmp_path):
     docs.select("doc_id", "text").write.parquet(str(tmp_path / "d"))
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
-    want = db.execute(quality.REPORT_SQL).df()
-    got = quality.report(docs).toPandas()
-    order = [*want.columns]
-    assert sorted(map(str, got[order].values.tolist())) == sorted(map(str, want.values.tolist()))
+    want = db.execute(quality.REPORT_SQL)
+    order = [c[0] for c in want.description]
+    got = quality.report(docs).select(*order).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
 
 
 def test_verdicts(spark):
     got = {r.doc_id: r for r in quality.report(frame(spark)).collect() if r.doc_id}
-    assert {d for d, r in got.items() if r.kept} == {4, 6, 9, 14}
+    assert {d for d, r in got.items() if r.kept} == {4, 6, 9}
     assert got[11].n_repeat_words == 10 and got[8].n_repeat_words == 20_000 and got[12].n_dup_lines == 2
 
 
