@@ -6,7 +6,9 @@ lines for reads of those files.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from adlumen.functions import storage as st
 from adlumen.functions.times import age_days
@@ -242,10 +244,24 @@ SELECT prefix, file_count, total_bytes,
   CASE WHEN file_count >= 4 AND total_bytes > 0 THEN 'passed' ELSE 'failed' END AS validation_status FROM stats"""
 
 
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
 @query(QUERIES)
 def file_inventory(spark, folder):
-    """The stored table files themselves, listed without reading them."""
-    return inventory.list_files(spark, folder).select("name", "size")
+    """Rows of each table, as the listed files hold them."""
+    held = [log.table(spark, folder, t).select(F.col("_metadata.file_path").alias("path")) for t in _TABLES]
+    rows = reduce(DataFrame.unionByName, held).groupBy("path").agg(F.count("*").alias("rows"))
+    table = F.regexp_extract("path", r"/([a-z_]+)\.parquet(/|$)", 1)
+    return (
+        inventory.list_files(spark, folder).select("path").join(rows, "path", "left")
+        .groupBy(table.alias("table_name")).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    )
+
+
+SQL["file_inventory"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _TABLES)
 
 
 # ---- compaction --------------------------------------------------------------

@@ -7,21 +7,24 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from adlumen.queries import all_queries, all_sql
+from adlumen.sources import inventory
 from tools.check_sql import canonical
 
 TABLES = ("events orders lineitem customer part documents").split()
+ALL_TABLES = [*TABLES, *"region nation supplier embeddings pages benchmark labels conversations".split()]
 
 
 @pytest.fixture(scope="module")
 def connection(small):
     connection = duckdb.connect()
-    for name in TABLES:
+    for name in ALL_TABLES:
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{Path(small) / name}.parquet'")
     return connection
 
 
-def test_every_query_but_the_file_listing_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"file_inventory"}
+def test_every_query_has_sql():
+    assert set(all_queries()) == set(all_sql())
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -34,8 +37,8 @@ def test_same_rows(spark, connection, small, name):
     assert isinstance(got, pd.DataFrame)
 
 
-def test_file_inventory(spark, small):
-    rows = {r.name: r.size for r in queries()["file_inventory"](spark, small).collect()}
+def test_listed_sizes(spark, small):
+    rows = {r.name: r.size for r in inventory.list_files(spark, small).collect()}
     assert rows == {p.name: p.stat().st_size for p in Path(small).glob("*.parquet")}
 
 
