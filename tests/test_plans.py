@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from adlumen.queries import all_queries as queries
 
 #: These write or stream while they are built.
 EAGER = {"repartition_verified", "stream_ingest", "stream_dedup", "stream_window_counts"}
