@@ -30,7 +30,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write once below the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
