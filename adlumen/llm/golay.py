@@ -26,19 +26,23 @@ GROUP = 4_096
 # ---- fingerprints ---------------------------------------------------------------
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64 bits: a bit is set if more than half of the shingle hashes have it. No words: 0."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of each shingle in its place; a text of fewer words is one shingle, no words none."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     last = ends[min(shingle, len(words)) - 1:].tolist()
     first = [0, *(ends[:n - 1] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)], dtype=np.uint64)
-    return _majority(hashes)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """64 bits: a bit is set if more than half of the shingle hashes have it. No words: 0."""
+    return _majority(shingle_hashes(text, shingle))
 
 
 def _majority(hashes: np.ndarray, block: int = 1 << 14) -> int:
@@ -254,8 +258,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of rows with that id the one with the smallest text hash stays, of equal rows any one.
     """
+    return first_of_each(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """one_of_each() for the components (doc_id, check, root) of ``found``."""
     known = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID)).alias("id")
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     best = found.groupBy("root").agg(F.min(F.struct(known, F.col("check"))).alias("best"))
     a, b = fresh("id_key", docs.columns), fresh("check_key", docs.columns)
     best = best.select(F.col("best.id").alias(a), F.col("best.check").alias(b)).distinct()
