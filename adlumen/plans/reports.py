@@ -13,8 +13,6 @@ from adlumen.operators.windows import ranked_per_key
 from adlumen.schemas import HIERARCHY, METRICS
 from adlumen.sinks import tables
 
-ADS_PER_DOCUMENT = 5_000
-
 
 def campaign_report(events: DataFrame) -> DataFrame:
     """Campaign totals with KPIs."""
@@ -56,12 +54,20 @@ def mail_batches(recipients: DataFrame, key: str, size: int = 100) -> DataFrame:
     return batches(recipients, key, size)
 
 
-def report_documents(facts: DataFrame, ads_per_document: int = ADS_PER_DOCUMENT) -> DataFrame:
+def _join_known_or_not(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Inner join on ``keys``, where an unknown (null) value meets an unknown one."""
+    other = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, on).drop(*[f"_{k}" for k in keys])
+
+
+def report_documents(facts: DataFrame, ads_per_document: int | None = None) -> DataFrame:
     """Nested reports: ads inside ad sets inside campaigns, with totals at every level.
 
-    A document holds a bounded number of ads. An advertiser above the bound gets several
-    documents (``part`` of ``parts``) that together list every ad; the totals in each are
-    those of the whole entity.
+    Every advertiser gets one document. With ``ads_per_document`` the ads of each are dealt
+    over as many documents (``part`` of ``parts``) as that needs on average, which together
+    list every ad; the totals in each are those of the whole entity. Unknown (null) ids
+    are entities of their own at their place.
     """
     ads = facts.groupBy(*HIERARCHY).agg(*agg.metric_sums())
     numbers = [*METRICS, *_KPIS]
@@ -74,10 +80,11 @@ def report_documents(facts: DataFrame, ads_per_document: int = ADS_PER_DOCUMENT)
     # totals are attached while rows are narrow; nesting then needs neither joins nor windows
     rows = agg.with_kpis(ads).select(*HIERARCHY, F.struct("ad_id", *numbers).alias("item"))
     for depth in (3, 2):
-        rows = rows.join(totals(depth).drop("_ads"), list(HIERARCHY[:depth]))
+        rows = _join_known_or_not(rows, totals(depth).drop("_ads"), HIERARCHY[:depth])
+    parts = F.ceil(F.col("_ads") / ads_per_document) if ads_per_document else F.lit(1).cast("long")
     rows = (
-        rows.join(totals(1), "advertiser_id")
-        .withColumn("parts", F.ceil(F.col("_ads") / ads_per_document))
+        _join_known_or_not(rows, totals(1), HIERARCHY[:1])
+        .withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("ad_id"), "parts"))
     )
     for depth, children in ((3, "ad_metrics"), (2, "adset_metrics")):
@@ -102,7 +109,7 @@ _KPIS = ("ctr", "cvr", "cpa", "cpc", "cpm", "roas", "ecpm")
 
 def run_daily_report(
     spark: SparkSession, events: DataFrame, day: dt.date, out_root: str, staging_root: str,
-    generated_at: dt.datetime,
+    generated_at: dt.datetime, ads_per_document: int | None = None,
 ) -> DataFrame:
     """One day's facts → roll-up, KPIs, documents, summary upsert, ledger.
 
@@ -124,7 +131,7 @@ def run_daily_report(
         F.lit(day).alias("start_date"), F.lit(day).alias("end_date"),
         F.lit("daily").alias("granularity"), F.lit("UTC").alias("timezone"),
     ))
-    documents = report_documents(facts).join(header, "advertiser_id").withColumns({
+    documents = _join_known_or_not(report_documents(facts, ads_per_document), header, HIERARCHY[:1]).withColumns({
         "report_id": F.concat_ws("-", F.col("advertiser_id").cast("string"), F.lit(f"{day:%Y%m%d}"),
                                  F.col("part").cast("string")),
         "date": F.lit(day),

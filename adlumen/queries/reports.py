@@ -217,7 +217,7 @@ SELECT advertiser_id, ad_id, {METRICS_OUT}, {KPIS_OUT}, CAST(rank AS INTEGER) AS
 @query(QUERIES)
 def nested_report(spark, folder):
     """Nested documents, unfolded again: an ad row with the totals of all its ancestors."""
-    documents = plan.report_documents(agg.ad_facts(log.ad_events(spark, folder)))
+    documents = plan.report_documents(agg.ad_facts(log.ad_events(spark, folder)), ads_per_document=5_000)
     campaigns = documents.select(
         "advertiser_id", "total_metrics", F.explode("campaign_metrics").alias("c"))
     adsets = campaigns.select("*", F.explode("c.adset_metrics").alias("s"))

@@ -70,6 +70,21 @@ def test_documents_split_but_stay_whole(spark, facts):
     assert camp == {("camp_001", 15_000), ("camp_002", 100)}
 
 
+def test_documents_keep_ads_of_unknown_parents(spark):
+    rows = [("v", "c", "s", "a", 1), ("v", "c", None, "b", 2), ("v", None, None, "d", 4), ("v", None, "s", "a", 8),
+            (None, None, None, None, 16)]
+    columns = [*reports.HIERARCHY, *reports.METRICS]
+    facts = spark.createDataFrame([(*r[:4], *[r[4]] * 4, 1.0, 2.0) for r in rows],
+                                  ", ".join(f"{c} {t}" for c, t in zip(columns, ["string"] * 4 + ["long"] * 4 + ["double"] * 2)))
+    for split in ({}, {"ads_per_document": 1}):
+        got = reports.report_documents(facts, **split).collect()
+        seen = {(d.advertiser_id, c.campaign_id, s.adset_id, a.ad_id, a.impressions, s.impressions, c.impressions, d.total_metrics.impressions)
+                for d in got for c in d.campaign_metrics for s in c.adset_metrics for a in s.ad_metrics}
+        assert seen == {("v", "c", "s", "a", 1, 1, 3, 15), ("v", "c", None, "b", 2, 2, 3, 15), ("v", None, None, "d", 4, 4, 12, 15),
+                        ("v", None, "s", "a", 8, 8, 12, 15), (None, None, None, None, 16, 16, 16, 16)}
+    assert len(reports.report_documents(facts).collect()) == 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 1000])
 def test_quantiles_match_exact_interpolation(spark, n):
     rng = random.Random(n)
