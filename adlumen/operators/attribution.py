@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _DAY_MICROS = 86_400_000_000
 _ANONYMOUS_SPLIT = 4096
+_OWN_WINDOW = "attribution_window_days"
 
 
 def _touch(kind: str) -> Column:
@@ -31,24 +32,29 @@ def attribute_conversions(
 ) -> DataFrame:
     """Latest click and impression at or before each conversion, within the window.
 
+    The window is that of the conversion's ``attribution_window_days``; where this is null
+    or no such column exists, it is ``window_days``.
     Credit goes to the click; without one, to the impression (view-through). A conversion
     with an unknown key is returned without credit; such rows are spread by a salt, so
     anonymous traffic forms no large group.
     """
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
     salt = F.when(known, F.lit(0)).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(_ANONYMOUS_SPLIT)))
+    window = F.lit(window_days)
+    if _OWN_WINDOW in events.columns:
+        window = F.coalesce(F.col(_OWN_WINDOW), window)
     rows = events.where(F.col("event_type").isin("impression", "click", "conversion")).select(
         "event_id", "event_type", "timestamp", "ad_id", "revenue",
         *[k for k in keys if k != "ad_id"],
         F.floor(F.unix_seconds("timestamp") / bucket_seconds).alias("bucket"),
-        salt.alias("salt"), known.alias("known"),
+        salt.alias("salt"), known.alias("known"), window.alias("window_days"),
     )
 
     def latest(carried: str, here: str) -> Column:
         # touches of this bucket are later than anything carried in
         found = F.coalesce(here, carried)
         age = F.unix_micros("timestamp") - F.unix_micros(found["timestamp"])
-        return F.when(age <= window_days * _DAY_MICROS, found)
+        return F.when(age <= F.col("window_days") * F.lit(_DAY_MICROS), found)
 
     earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -155,6 +155,20 @@ def test_attribution_against_brute_force(spark, bucket):
         assert got == brute_force_attribution(rows, keys, 7)
 
 
+def test_attribution_window_of_each_conversion(spark):
+    start, days = dt.datetime(2024, 1, 1), dt.timedelta(days=1)
+    rows = [(1, "click", start, 1, 5), (2, "impression", start + 19 * days, 1, 6)] + [
+        (10 + i, "conversion", start + 20 * days, 1, window) for i, window in enumerate([30, 20, 19, 7, 1, 0, None])]
+    df = spark.createDataFrame([(*r[:4], 0, 1.0, r[4]) for r in rows], "event_id long, event_type string, timestamp timestamp, "
+                               "user_id long, ad_id long, revenue double, attribution_window_days int")
+    got = {r.conversion_id: (r.click_ts is not None, r.impression_ts is not None)
+           for r in attribute_conversions(df, ["user_id"]).collect()}
+    # a window of 20 days reaches the click of that very moment, one of 1 day the impression
+    assert [got[10 + i] for i in range(7)] == [(True, True), (True, True), (False, True), (False, True), (False, True), (False, False), (False, True)]
+    default = {r.conversion_id: r.click_ts is not None for r in attribute_conversions(df, ["user_id"], window_days=25).collect()}
+    assert [default[10 + i] for i in range(7)] == [True, True, False, False, False, False, True]
+
+
 def test_dedup_is_idempotent(spark):
     df = spark.range(500).select((F.col("id") % 50).alias("event_id"), F.col("id").alias("ts"))
     once = dedup.drop_duplicates(df, ["event_id"], [F.col("ts")])
