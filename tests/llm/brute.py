@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,3 +102,68 @@ def cut_hits(text: str, hit: set[int]) -> str:
             at = places[i][1]
         i += 1
     return "".join([*out, text[at:]])
+
+
+def lexical_best(docs: list[tuple[int | None, str | None]], text: str | None, k: int = 10) -> list[tuple[int | None, int]]:
+    """(document, score) of the best documents for one item."""
+    term = re.compile("[0-9a-z\x80-\U0010ffff]+")
+    found = [(d, Counter(term.findall((t or "").translate(LOW)))) for d, t in docs]
+    found = [(d, c) for d, c in found if c]
+    n_docs, n_terms = len(found), sum(sum(c.values()) for _, c in found)
+    wanted = Counter(term.findall((text or "").translate(LOW)))
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * sum(t in c for _, c in found) + 1))) for t in wanted}
+    out = []
+    for d, c in found:
+        m = 25 + 75 * sum(c.values()) * n_docs // n_terms
+        score = sum(times * weight[t] * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m)) for t, times in wanted.items())
+        if score > 0:
+            out.append((d, score))
+    return sorted(out, key=lambda x: (-x[1], x[0] is None, x[0] or 0))[:k]
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelling_words(docs: list[tuple[int | None, str | None]], letters: int = 6, least: int = 5) -> dict[str, int]:
+    out: Counter = Counter()
+    for d, text in docs:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(LOW)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            out[run[:h % len(run)] + run[h % len(run) + 1:] if h % 199 == 0 else run] += 1
+    return {w: n for w, n in out.items() if len(w) >= letters and n >= least}
+
+
+def spelling_variants(count: dict[str, int], times: int = 5) -> set[tuple]:
+    near = {w: [v for v in count if v != w and abs(len(v) - len(w)) < 2 and one_edit(v, w)] for w in count}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-count[v], v), default=None)
+        form[w] = best if best and count[best] >= times * count[w] else None
+    out = set()
+    for w in count:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, count[w], len(near[w]), count[form[w]] if form[w] else None))
+    return out
+
+
+def without_repeats(docs: list[tuple[int | None, str | None]], window: int) -> list[tuple]:
+    """(document, words, removed words, kept text) by plain windows."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    last = float("inf")
+    first: dict[tuple, float] = {}
+    for (d, _), w in zip(docs, words):
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            first[key] = min(first.get(key, last), last if d is None else d)
+    out = []
+    for (d, _), w in zip(docs, words):
+        gone = {j for i in range(len(w) - window + 1) if first[tuple(w[i:i + window])] < (last if d is None else d) for j in range(i, i + window)}
+        out.append((d, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
+    return out
