@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adlumen.functions.rates import ratio
+from adlumen.operators.ranks import quantile_cuts
 
 # Columns graded by default; the limits of the grades are in null_grades.
 GRADED_COLUMNS = ("user_id", "campaign_id", "ad_id", "event_type", "amount")
@@ -22,7 +23,9 @@ class Check:
 
     kind: ``row_count`` (at least ``threshold`` rows), ``null_ratio`` (share of NULLs in
     ``column`` below ``threshold``), ``schema`` (all ``columns`` present), ``range``
-    (``column`` inside ``low``..``high``), ``condition`` (``condition`` true on every row).
+    (``column`` inside ``low``..``high``), ``condition`` (``condition`` true on every row),
+    ``quartile_fence`` and ``median_fence`` (share of values of ``column`` outside its fence
+    at most ``threshold``; see :func:`quartile_fences`, :func:`median_fences`).
     """
 
     name: str
@@ -36,21 +39,71 @@ class Check:
     warning_only: bool = False
 
 
-def _measure(check: Check, present: list[str]) -> tuple[Column, Column]:
+def quartile_fences(df: DataFrame, metrics: dict[str, Column], width: float = 1.5) -> DataFrame:
+    """Rows (metric, low, high): ``width`` interquartile ranges beyond the quartiles.
+
+    The quartiles are exact and found without a single-task sort. NULLs are left out; a
+    metric without values has no row.
+    """
+    cuts = quantile_cuts(df, metrics, [0.25, 0.75]).groupBy("metric").agg(F.min("value").alias("q1"), F.max("value").alias("q3"))
+    reach = (F.col("q3") - F.col("q1")) * width
+    return cuts.select("metric", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+
+
+def median_fences(df: DataFrame, metrics: dict[str, Column], width: float = 3.0) -> DataFrame:
+    """Rows (metric, low, high): ``width`` deviations around the median.
+
+    The deviation is the median distance from the median, scaled to that of a normal
+    distribution; up to half of the values can be outliers without moving it. A second
+    pass is needed for the distances.
+    """
+    medians = quantile_cuts(df, metrics, [0.5]).select("metric", F.col("value").alias("median"))
+    distances = {name: F.abs(value.cast("double") - medians.where(F.col("metric") == name).select("median").scalar())
+                 for name, value in metrics.items()}
+    spread = quantile_cuts(df, distances, [0.5]).select("metric", (F.col("value") * _NORMAL * width).alias("reach"))
+    return medians.join(spread, "metric").select(
+        "metric", (F.col("median") - F.col("reach")).alias("low"), (F.col("median") + F.col("reach")).alias("high"))
+
+
+#: Fixed value: standard deviations in one median distance of a normal distribution.
+_NORMAL = 1.4826
+_FENCES = {"quartile_fence": quartile_fences, "median_fence": median_fences}
+
+
+def flag_outliers(df: DataFrame, fences: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """Adds ``outliers``: names of the metrics whose value lies outside its fence; none for NULLs.
+
+    The fences, a row for each metric, stay in the plan as scalar subqueries.
+    """
+    names = []
+    for name, value in metrics.items():
+        own = fences.where(F.col("metric") == name)
+        outside = ~value.cast("double").between(own.select("low").scalar(), own.select("high").scalar())
+        names.append(F.when(outside, F.lit(name)).otherwise(F.lit("")))
+    return df.withColumn("outliers", F.array_remove(F.array(*names), ""))
+
+
+def _measure(check: Check, df: DataFrame) -> tuple[Column, Column]:
     """(measured value as an aggregate, passed as an expression of it)."""
+    present = df.columns
     if check.kind == "row_count":
         value = F.count(F.lit(1)).cast("double")
         return value, value >= check.threshold
     if check.kind == "schema":
         absent = len(set(check.columns) - set(present))
         return F.max(F.lit(float(absent))), F.lit(absent == 0)
-    if check.kind not in ("null_ratio", "range", "condition"):
+    if check.kind not in ("null_ratio", "range", "condition", *_FENCES):
         raise ValueError(f"unknown check kind {check.kind!r}")
     if check.kind != "condition" and check.column not in present:
         return F.max(F.lit(None).cast("double")), F.lit(False)
     if check.kind == "null_ratio":
         value = F.coalesce(F.avg(F.col(check.column).isNull().cast("double")), F.lit(0.0))
         return value, value < check.threshold
+    if check.kind in _FENCES:
+        fence = _FENCES[check.kind](df, {check.column: F.col(check.column)})
+        outside = ~F.col(check.column).between(fence.select("low").scalar(), fence.select("high").scalar())
+        value = F.coalesce(F.avg(outside.cast("double")), F.lit(0.0))
+        return value, value <= check.threshold
     bad = (
         ~F.coalesce(check.condition, F.lit(False))
         if check.kind == "condition"
@@ -64,7 +117,7 @@ def run_checks(df: DataFrame, checks: list[Check], stop_at_first_failure: bool =
     """Rows (position, check, kind, passed, actual, is_warning)."""
     measured = []
     for i, check in enumerate(checks):
-        value, passed = _measure(check, df.columns)
+        value, passed = _measure(check, df)
         measured.append(F.struct(
             F.lit(i).alias("position"), F.lit(check.name).alias("check"),
             F.lit(check.kind).alias("kind"), passed.alias("passed"), value.alias("actual"),

@@ -36,7 +36,8 @@ def report_metadata(totals: DataFrame, generated_at: Column, currency: str = "US
         F.col("impressions").alias("total_impressions"),
         F.col("spend").alias("total_spend"),
         F.lit(currency).alias("currency"),
-        F.lit(True).alias("is_final"),
+        # judged totals are final if they are valid
+        (F.col("is_valid") if "is_valid" in totals.columns else F.lit(True)).alias("is_final"),
     )
 
 
@@ -114,17 +115,18 @@ def run_daily_report(
     """One day's facts → roll-up, KPIs, documents, summary upsert, ledger.
 
     Returns the advertisers to notify. Facts are written once; every later step reads
-    the written table instead of scanning the events again.
+    the written table instead of scanning the events again. A rerun replaces the day: ads
+    and advertisers that it does not have any more vanish from all tables and documents.
+    Reports that fail validation are written as not final; nobody is notified of them.
     """
     facts_root = f"{out_root}/aggregations"
     todays = events.where(F.to_date("timestamp") == F.lit(day))
-    tables.write_partitioned(
-        agg.daily_facts(todays).withColumn("date", F.col("report_date")), facts_root, ["date"]
-    )
-    facts = spark.read.parquet(facts_root).where(F.col("date") == F.lit(day))
+    dated, scope = agg.daily_facts(todays).withColumn("date", F.col("report_date")), {"date": [str(day)]}
+    tables.replace_partitions(dated, facts_root, ["date"], scope)
+    facts = spark.read.schema(dated.schema).parquet(facts_root).where(F.col("date") == F.lit(day))
 
     rollup = agg.with_kpis(agg.hierarchy_rollup(facts)).withColumn("date", F.lit(day))
-    tables.write_partitioned(rollup, f"{out_root}/kpis", ["date"])
+    tables.replace_partitions(rollup, f"{out_root}/kpis", ["date"], scope)
 
     totals = validate_reports(advertiser_totals(facts, "report_date"))
     header = report_metadata(totals, F.lit(generated_at)).withColumn("period", F.struct(
@@ -136,13 +138,13 @@ def run_daily_report(
                                  F.col("part").cast("string")),
         "date": F.lit(day),
     })
-    tables.write_reports(documents, f"{out_root}/reports")
+    tables.write_reports(documents, f"{out_root}/reports", day)
 
     summary = facts.select("report_date", *HIERARCHY, *METRICS).withColumn(
         "updated_at", F.lit(generated_at)
     )
     tables.upsert_daily(spark, f"{out_root}/daily_metrics", summary,
-                        ["report_date", *HIERARCHY], "updated_at", staging_root)
+                        ["report_date", *HIERARCHY], "updated_at", staging_root, complete=[day])
 
     measures = totals.agg(
         F.count("*").alias("reports"), F.count_if("is_valid").alias("valid_reports"),
@@ -151,4 +153,4 @@ def run_daily_report(
     tables.append_ledger(
         tables.ledger_entry(measures, "advertiser_reports", day, generated_at), f"{out_root}/ledger"
     )
-    return to_notify(totals)
+    return to_notify(totals.where("is_valid"))

@@ -171,21 +171,26 @@ def run_daily_segmentation(
     ts = F.col("timestamp")
     recent = events.where((ts >= F.lit(since).cast("timestamp")) & (ts < F.lit(day).cast("timestamp")))
 
-    # day partitions are replaced as wholes: that is `replace_days` on disk
+    # day partitions are replaced as wholes, and days without events any more go: that is
+    # `replace_days` on disk
     state_root = f"{root}/user-days"
-    tables.write_partitioned(user_days(recent).withColumn("date", F.col("day")), state_root, ["date"])
+    patch = user_days(recent).withColumn("date", F.col("day"))
+    patched = [str(since + dt.timedelta(days=i)) for i in range((day - since).days)]
+    tables.replace_partitions(patch, state_root, ["date"], {"date": patched})
     start = day - dt.timedelta(days=LOOKBACK_DAYS)
-    state = spark.read.parquet(state_root).where(
+    state = spark.read.schema(patch.schema).parquet(state_root).where(
         (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(day))
     )
 
     # written once: cut points, scores and sizes read the table, not the events
     features_root, tiers_root = f"{root}/user-features", f"{root}/segments"
     features = with_engagement(user_features(state, day)).withColumn("date", F.lit(day))
-    tables.write_partitioned(features, features_root, ["date"])
+    today = {"date": [str(day)]}
+    tables.replace_partitions(features, features_root, ["date"], today)
     users = qualified(spark.read.schema(features.schema).parquet(features_root).where(F.col("date") == F.lit(day)))
-    tables.write_partitioned(with_rfm(users, rfm_cuts(users), separate_cant_lose), tiers_root, ["date"])
-    tiers = spark.read.parquet(tiers_root).where(F.col("date") == F.lit(day))
+    scored = with_rfm(users, rfm_cuts(users), separate_cant_lose)
+    tables.replace_partitions(scored, tiers_root, ["date"], today)
+    tiers = spark.read.schema(scored.schema).parquet(tiers_root).where(F.col("date") == F.lit(day))
 
     sizes = segment_sizes(tiers)
     checks = segment_checks(sizes, required, min_total)

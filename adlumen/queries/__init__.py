@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from adlumen.queries import quality, ranking, reports, segments, storage, streams
+from adlumen.queries import quality, ranking, reports, segments, storage, streams, versions
 from adlumen.queries.common import decimal_round
 
-_MODULES = (reports, ranking, segments, quality, storage, streams)
+_MODULES = (reports, ranking, segments, quality, storage, streams, versions)
 
 
 def all_queries() -> dict:

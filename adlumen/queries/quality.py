@@ -299,3 +299,40 @@ SQL["ledger_gauge_names"] = f"""WITH {AD}
 SELECT 'partitioning' AS run_type, '2024-01-30' AS run_date,
   'rows.job_daily.type_' || event_type AS gauge, CAST(count(*) AS DOUBLE) AS value
 FROM ad GROUP BY event_type"""
+
+
+@query(QUERIES)
+def outlier_events(spark, folder):
+    """Events whose value lies outside the quartile or the median fence of the whole log."""
+    events, value = log.table(spark, folder, "events"), {"value": F.col("value")}
+    by_quartiles = ops.flag_outliers(events, ops.quartile_fences(events, value), value)
+    both = ops.flag_outliers(by_quartiles.withColumnRenamed("outliers", "q"), ops.median_fences(events, value), value)
+    flags = both.select("event_id", "value", (F.size("q") > 0).alias("by_quartiles"), (F.size("outliers") > 0).alias("by_median"))
+    return rounded(flags.where("by_quartiles OR by_median"))
+
+
+SQL["outlier_events"] = """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b, quantile_cont(value, 0.5) AS m FROM events),
+d AS (SELECT quantile_cont(abs(value - m), 0.5) AS d FROM events, q),
+f AS (SELECT event_id, value, value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a) AS by_quartiles,
+  value < m - d * 1.4826 * 3 OR value > m + d * 1.4826 * 3 AS by_median FROM events, q, d)
+SELECT event_id, round(value, 6) AS value, by_quartiles, by_median FROM f WHERE by_quartiles OR by_median"""
+
+
+@query(QUERIES)
+def fence_checks(spark, folder):
+    """Shares of event values outside either fence, as declared checks."""
+    events = log.table(spark, folder, "events")
+    out = ops.run_checks(events, [
+        ops.Check("few beyond quartiles", "quartile_fence", "value", threshold=0.01),
+        ops.Check("some beyond median", "median_fence", "value", threshold=0.2, warning_only=True)])
+    return rounded(out)
+
+
+SQL["fence_checks"] = """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b, quantile_cont(value, 0.5) AS m FROM events),
+d AS (SELECT quantile_cont(abs(value - m), 0.5) AS d FROM events, q),
+s AS (SELECT avg(CAST(value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a) AS INTEGER)) AS x,
+  avg(CAST(value < m - d * 1.4826 * 3 OR value > m + d * 1.4826 * 3 AS INTEGER)) AS y FROM events, q, d)
+SELECT CAST(0 AS INTEGER) AS position, 'few beyond quartiles' AS "check", 'quartile_fence' AS kind, x <= 0.01 AS passed, round(x, 6) AS actual, false AS is_warning FROM s
+UNION ALL SELECT 1, 'some beyond median', 'median_fence', y <= 0.2, round(y, 6), true FROM s"""

@@ -320,8 +320,11 @@ SELECT advertiser_id, (row_number() OVER (ORDER BY advertiser_id) - 1) // 100 AS
 WHERE spend > 0 AND campaign_count > 0"""
 
 
-def _attribution(spark, folder, keys):
-    out = attribute_conversions(log.ad_events(spark, folder), keys)
+def _attribution(spark, folder, keys, own_window=None):
+    events = log.ad_events(spark, folder)
+    if own_window is not None:
+        events = events.withColumn("attribution_window_days", F.expr(own_window))
+    out = attribute_conversions(events, keys)
     return rounded(out.select(
         "conversion_id", *keys,
         *[F.coalesce(F.unix_micros(c), F.lit(-1)).alias(c)
@@ -330,13 +333,13 @@ def _attribution(spark, folder, keys):
     ))
 
 
-def _attribution_sql(keys):
+def attribution_sql(keys, days="7"):
     on = " AND ".join(f"v.{k} = t.{k}" for k in keys)
 
     def touch(name, kind):
         return f"""{name} AS (SELECT v.event_id AS id, t.ts AS {name}_ts, t.ad_id AS {name}_ad
           FROM ad v JOIN ad t ON {on} AND t.event_type = '{kind}' AND t.ts <= v.ts
-               AND t.ts >= v.ts - INTERVAL 7 DAY
+               AND t.ts >= v.ts - to_days(CAST({days} AS INTEGER))
           WHERE v.event_type = 'conversion'
           QUALIFY row_number() OVER (PARTITION BY v.event_id ORDER BY t.ts DESC, t.event_id DESC) = 1)"""
 
@@ -356,7 +359,7 @@ def attribution(spark, folder):
     return _attribution(spark, folder, ["user_id", "ad_id"])
 
 
-SQL["attribution"] = _attribution_sql(["user_id", "ad_id"])
+SQL["attribution"] = attribution_sql(["user_id", "ad_id"])
 
 
 @query(QUERIES)
@@ -365,4 +368,14 @@ def attribution_by_user(spark, folder):
     return _attribution(spark, folder, ["user_id"])
 
 
-SQL["attribution_by_user"] = _attribution_sql(["user_id"])
+SQL["attribution_by_user"] = attribution_sql(["user_id"])
+
+
+@query(QUERIES)
+def attribution_own_windows(spark, folder):
+    """Credit within each conversion's own window: 1 to 30 days, or the default where none is given."""
+    return _attribution(spark, folder, ["user_id", "ad_id"], "if(event_id % 31 = 0, NULL, cast(event_id % 31 AS int))")
+
+
+SQL["attribution_own_windows"] = attribution_sql(
+    ["user_id", "ad_id"], "CASE WHEN v.event_id % 31 = 0 THEN 7 ELSE v.event_id % 31 END")

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from adlumen.functions.times import is_full_rebuild, lookback_start
 from adlumen.operators.joins import fold_state
 from adlumen.operators.quality import missing_values_of, segment_checks
+from adlumen.operators import sketches
 from adlumen.operators.rules import Criteria, tag_segments
 from adlumen.plans import segments as plan
 from adlumen.queries.common import AD, USER_REFERENCE, joined, query, rounded, sql_ratio
 from adlumen.schemas import RFM_TIERS
+from adlumen.session import shared_dir
 from adlumen.sinks.tables import membership_entries
 from adlumen.sources import eventlog as log
 
@@ -328,3 +330,24 @@ SQL["rebuild_mode"] = """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS run_date
 SELECT CAST(run_date AS VARCHAR) AS run_date, CASE WHEN isodow(run_date) = 1 THEN 'full' ELSE 'incremental' END AS mode,
        CAST(run_date - CAST(CASE WHEN isodow(run_date) = 1 THEN 90 ELSE 7 END AS INTEGER) AS VARCHAR) AS start_date
 FROM d"""
+
+
+@query(QUERIES)
+def merged_quantiles(spark, folder):
+    """Cut points of event values per type from daily sketches, held against exact ranks.
+
+    Sketches are drawn by chance, so the query tells whether a cut is within the bound.
+    """
+    events = log.table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    metrics = {"value": F.col("value")}
+    states = sketches.quantile_states(events, metrics, "event_type", "day")
+    root = shared_dir(spark, "quantile-states")
+    states.write.partitionBy("day").parquet(root)
+    kept = spark.read.parquet(root)
+    cuts = sketches.merged_cuts(kept, [*plan.QUINTILES, 0.5, 0.99], "event_type")
+    judged = sketches.rank_errors(cuts, events, metrics, "event_type")
+    return judged.select("event_type", "metric", "probability", "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_bound"))
+
+
+SQL["merged_quantiles"] = """SELECT event_type, 'value' AS metric, CAST(p AS DOUBLE) AS probability, count(value) AS n, true AS within_bound
+FROM events, (SELECT unnest([0.2, 0.4, 0.6, 0.8, 0.5, 0.99]) AS p) WHERE value IS NOT NULL GROUP BY event_type, p"""

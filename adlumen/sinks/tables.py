@@ -8,9 +8,10 @@ large share of the rows becomes several files instead of one slow task.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adlumen import schemas as S
 from adlumen.functions import storage as st
@@ -36,6 +37,53 @@ def write_partitioned(
     )
 
 
+def replace_partitions(
+    df: DataFrame, root: str, columns: list[str], scope: dict[str, list], fmt: str = "parquet"
+) -> None:
+    """Everything in ``scope`` becomes ``df``: partitions it does not have any more go.
+
+    ``scope`` names values of the leading partition columns, such as the days of a run.
+    The rows are written to a hidden folder first; then each partition of the scope is
+    removed or replaced by a rename. A run that breaks off is made good by running it
+    again. Rows outside the scope are refused before anything is touched.
+    """
+    spark = df.sparkSession
+    if list(scope) != columns[:len(scope)]:
+        raise ValueError(f"{list(scope)} are not the first of {columns}")
+    root = root.rstrip("/")
+    staged = f"{root}/.replacing-{uuid.uuid4().hex}"
+    (
+        df.hint("rebalance", *columns).write.option("compression", "snappy" if fmt == "parquet" else "none")
+        .partitionBy(*columns).format(fmt).save(staged)
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def partitions(base: str, patterns: list[str]) -> list[str]:
+        """Partition folders below ``base``, as relative paths: one listing a level."""
+        found = [str(s.getPath().toUri().getPath()) for p in patterns for s in fs.globStatus(path(f"{base}/{p}")) or []]
+        return sorted(f.split(f"{path(base).toUri().getPath()}/", 1)[1] for f in found)
+
+    try:
+        tail = "".join(f"/{c}=*" for c in columns[len(scope):])
+        wanted = ["/".join(f"{c}={v}" for c, v in zip(scope, values)) for values in itertools.product(*scope.values())]
+        new = partitions(staged, ["/".join(f"{c}=*" for c in columns)])
+        outside = [p for p in new if not any(p == w or p.startswith(f"{w}/") for w in wanted)]
+        if outside:
+            raise ValueError(f"outside the scope: {outside[:5]}")
+        old = partitions(root, [w + tail for w in wanted])
+        for part in new:
+            target = path(f"{root}/{part}")
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(path(f"{staged}/{part}"), target):
+                raise OSError(f"could not move {part} into {root}")
+        for part in sorted(set(old) - set(new)):
+            fs.delete(path(f"{root}/{part}"), True)
+    finally:
+        fs.delete(path(staged), True)
+
+
 def write_events(events: DataFrame, root: str) -> None:
     write_partitioned(
         events.withColumns(st.partition_columns(F.col("timestamp"))), root, EVENT_LAYOUT
@@ -47,8 +95,11 @@ def write_features(
 ) -> DataFrame:
     """Vectors of one hour plus a metadata record describing them; returns the stored rows."""
     stamped = vectors.withColumns(st.partition_columns(F.lit(hour)))
-    write_partitioned(stamped, root, EVENT_LAYOUT[:4])
-    written = vectors.sparkSession.read.parquet(root).where(
+    replace_partitions(stamped, root, EVENT_LAYOUT[:4], {
+        "year": [f"{hour:%Y}"], "month": [f"{hour:%m}"], "day": [f"{hour:%d}"], "hour": [f"{hour:%H}"]})
+    # a declared schema: an hour without vectors has no file to tell it
+    levels = T.StructType([T.StructField(c, T.IntegerType()) for c in EVENT_LAYOUT[:4]])
+    written = vectors.sparkSession.read.schema(T.StructType([*vectors.schema.fields, *levels.fields])).parquet(root).where(
         (F.col("year") == hour.year) & (F.col("month") == hour.month)
         & (F.col("day") == hour.day) & (F.col("hour") == hour.hour)
     )
@@ -84,7 +135,7 @@ def exists(spark: SparkSession, root: str) -> bool:
 
 
 def write_memberships(entries: DataFrame, root: str, day: dt.date) -> None:
-    write_partitioned(entries.withColumn("date", F.lit(f"{day:%Y-%m-%d}")), root, ["date"])
+    replace_partitions(entries.withColumn("date", F.lit(f"{day:%Y-%m-%d}")), root, ["date"], {"date": [str(day)]})
 
 
 def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -95,33 +146,49 @@ def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str], versio
 
 def upsert_daily(
     spark: SparkSession, root: str, updates: DataFrame, keys: list[str], version: str,
-    staging_root: str, date_column: str = "report_date",
+    staging_root: str, date_column: str = "report_date", complete: list[dt.date] | None = None,
 ) -> None:
     """Merge ``updates`` into a table partitioned by date.
 
     Only touched dates are read and rewritten. The merged rows go to a staging table
     first: the target is never overwritten while it is being read, and a lost executor
-    can still recompute its part from either table.
+    can still recompute its part from either table. With ``complete`` the updates are all
+    there is on those dates: rows without an update vanish, unless their version is higher
+    than that of every update. Tables with versions merge by file instead, see
+    :meth:`adlumen.sinks.snapshots.Table.merge`.
     """
     staging = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
     merged = updates
     if exists(spark, root):
         # the declared types keep the partition column a date on both sides
-        current = spark.read.schema(updates.schema).parquet(root)
+        current = spark.read.schema(updates.schema).parquet(root).select(*updates.columns)
         touched = updates.select(date_column).distinct()
-        current = current.join(touched, date_column, "left_semi")
-        merged = merge_latest(current.select(*updates.columns), updates, keys, version)
+        if complete is not None:
+            days = F.col(date_column).isin(complete)
+            newest = updates.agg(F.max(version)).scalar()
+            has_update = updates.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            stale = current.where(days & (newest.isNull() | F.col(version).isNull() | (F.col(version) <= newest))).join(has_update, same, "left_anti")
+            touched = touched.union(current.where(days).select(date_column)).distinct()
+            # of rows that stay, those with an update or with a higher version
+            gone = stale.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            kept = current.join(gone, same, "left_anti")
+        else:
+            kept = current
+        kept = kept.join(touched, date_column, "left_semi").select(*updates.columns)
+        merged = merge_latest(kept, updates, keys, version)
     merged.write.parquet(staging)
-    write_partitioned(spark.read.parquet(staging), root, [date_column])
+    stored = spark.read.schema(merged.schema).parquet(staging)
+    if complete is None:
+        write_partitioned(stored, root, [date_column])
+        return
+    dates = {r[0] for r in stored.select(date_column).distinct().collect()} | set(complete)
+    replace_partitions(stored, root, [date_column], {date_column: sorted(str(d) for d in dates)})
 
 
-def write_reports(documents: DataFrame, root: str) -> None:
-    """JSON documents below date=…/advertiser_id=…/."""
-    (
-        documents.hint("rebalance", "date", "advertiser_id")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "advertiser_id").json(root)
-    )
+def write_reports(documents: DataFrame, root: str, day: dt.date) -> None:
+    """JSON documents of one day below date=…/advertiser_id=…/; a vanished advertiser's goes."""
+    replace_partitions(documents, root, ["date", "advertiser_id"], {"date": [str(day)]}, "json")
 
 
 def export_text(df: DataFrame, path: str, fmt: str = "csv", compressed: bool = False) -> None:

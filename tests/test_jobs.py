@@ -351,3 +351,29 @@ def test_shared_folder_is_the_clusters(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert first.startswith(configured) and first != second
+
+
+def test_stream_attribution_equals_the_batch_operator(spark, tmp_path):
+    from adlumen.operators.attribution import attribute_conversions
+    from adlumen.streaming import attribution
+
+    def at(day, hour):
+        return dt.datetime(2024, 1, day, hour)
+
+    schema = "event_id long, event_type string, timestamp timestamp, user_id long, ad_id long, revenue double, attribution_window_days int"
+    rows = [(1, "impression", at(1, 1), 1, 7, 0.0, None), (2, "click", at(1, 2), 1, 7, 0.0, None), (3, "click", at(1, 2), 1, 7, 0.0, None),
+            (4, "conversion", at(1, 3), 1, 7, 5.0, None), (5, "conversion", at(3, 3), 1, 7, 5.0, 1), (6, "impression", at(1, 3), 2, 7, 0.0, None),
+            (7, "conversion", at(1, 3), 2, 7, 1.0, 0), (8, "conversion", at(2, 3), 2, 8, 1.0, 30), (9, "conversion", at(2, 4), None, 7, 1.0, 30),
+            (10, "impression", at(2, 5), None, 7, 0.0, None), (11, "click", at(4, 1), 1, 7, 0.0, None), (12, "conversion", at(12, 1), 1, 7, 2.0, 8),
+            (13, "conversion", at(12, 1), 1, 7, 2.0, None), (14, "view", at(4, 1), 1, 7, 0.0, None)]
+    end = [(-1, kind, dt.datetime(2100, 1, 1), -1, -1, 0.0, 1) for kind in ("impression", "conversion")]
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for part in (rows[:7], rows[7:], end):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(source)
+        stream = streaming.read_stream(spark, source, spark.read.parquet(source).schema)
+        found = attribution.attribute(stream, stream.where("event_type = 'conversion'"), ["user_id", "ad_id"], "1 hour", 30)
+        streaming.write_stream(found, root, checkpoint).awaitTermination()
+    got = spark.read.parquet(root).where("conversion_id > 0")
+    want = attribute_conversions(spark.createDataFrame(rows, schema), ["user_id", "ad_id"])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert {r.conversion_id: r.click_ts is not None for r in got.collect()} == {4: True, 5: False, 7: False, 8: False, 9: False, 12: True, 13: False}

@@ -393,3 +393,65 @@ def test_never_converted_keeps_null_recency(spark):
         "user_id long, event_type string, timestamp timestamp, revenue double")
     got = segments.user_features(segments.user_days(df), dt.date(2024, 2, 10)).head()
     assert got.days_since_last_conversion is None and got.days_since_last_impression == 9.0
+
+
+def test_fences_and_flagged_rows(spark):
+    from adlumen.operators import quality
+
+    values = [1.0, 2.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 100.0, -80.0, None]
+    df = spark.createDataFrame([(i, v, -v if v is not None else None) for i, v in enumerate(values)], "id long, a double, b double")
+    metrics = {"a": F.col("a"), "b": F.col("b")}
+    known = sorted(v for v in values if v is not None)
+
+    def at(share, data):
+        place = share * (len(data) - 1)
+        low = int(place)
+        return data[low] + (data[min(low + 1, len(data) - 1)] - data[low]) * (place - low)
+
+    q1, q3, middle = at(.25, known), at(.75, known), at(.5, known)
+    spread = at(.5, sorted(abs(v - middle) for v in known)) * 1.4826 * 3
+    by_quartiles = quality.quartile_fences(df, metrics)
+    by_median = quality.median_fences(df, metrics)
+    got = {r.metric: (r.low, r.high) for r in by_quartiles.collect()}
+    assert got["a"] == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    assert got["b"] == pytest.approx((-got["a"][1], -got["a"][0]))
+    assert {r.metric: (r.low, r.high) for r in by_median.collect()}["a"] == pytest.approx((middle - spread, middle + spread))
+    for fences in (by_quartiles, by_median):
+        flagged = {r.id: r.outliers for r in quality.flag_outliers(df, fences, metrics).collect()}
+        assert {i: x for i, x in flagged.items() if x} == {8: ["a", "b"], 9: ["a", "b"]} and flagged[10] == []
+    empty = quality.flag_outliers(df.limit(0), quality.quartile_fences(df.limit(0), metrics), metrics)
+    assert empty.count() == 0
+    # without values there is no fence, and nothing is outside of it
+    nulls = df.select("id", F.lit(None).cast("double").alias("a"))
+    assert {tuple(r.outliers) for r in quality.flag_outliers(nulls, quality.median_fences(nulls, {"a": F.col("a")}), {"a": F.col("a")}).collect()} == {()}
+
+
+def test_fence_checks(spark):
+    from adlumen.operators.quality import Check, run_checks
+
+    df = spark.createDataFrame([(float(v),) for v in [*range(1, 20), 500]], "a double")
+    checks = [Check("q", "quartile_fence", "a", threshold=0.04), Check("m", "median_fence", "a", threshold=0.05),
+              Check("x", "median_fence", "absent")]
+    got = {r.check: (r.passed, r.actual) for r in run_checks(df, checks).collect()}
+    assert got == {"q": (False, 0.05), "m": (True, 0.05), "x": (False, None)}
+    assert {r.check: (r.passed, r.actual) for r in run_checks(df.limit(0), checks[:2]).collect()} == {"q": (True, 0.0), "m": (True, 0.0)}
+
+
+def test_merged_sketches_stay_within_the_bound(spark, tmp_path):
+    from adlumen.operators import sketches
+
+    df = spark.range(60_000).selectExpr(
+        "id % 30 AS day", "if(id % 3 = 0, 7.0D, exp(randn(5) * 2)) AS v", "if(id % 50 = 0, NULL, double(id * 7919 % 60000)) AS w")
+    metrics = {"v": F.col("v"), "w": F.col("w")}
+    df.write.parquet(str(tmp_path / "values"))  # random values are drawn once
+    df = spark.read.parquet(str(tmp_path / "values"))
+    states = sketches.quantile_states(df, metrics, "day")
+    assert states.count() == 60
+    cuts = sketches.merged_cuts(states.where("day < 20"), [0.01, 0.2, 0.5, 0.8, 0.99])
+    judged = sketches.rank_errors(cuts, df.where("day < 20"), metrics).collect()
+    assert len(judged) == 10 and all(r.rank_error <= sketches.RANK_ERROR for r in judged)
+    assert {r.n for r in judged if r.metric == "w"} == {df.where("day < 20 AND w IS NOT NULL").count()}
+    # states of states are states: two halves merged give the same bound
+    late = sketches.rank_errors(sketches.merged_cuts(states, [0.5], "day"), df, metrics, "day").collect()
+    assert len(late) == 60 and max(r.rank_error for r in late) <= sketches.RANK_ERROR
+    assert sketches.quantile_states(df.limit(0), metrics, "day").count() == 0
