@@ -27,8 +27,13 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once below the shared folder and read back: cuts lineage, survives lost executors."""
+    """Write once below the shared folder and read back: cuts lineage, survives lost executors.
+
+    Shuffle files of a written step are of no more use, and go when it ends; otherwise the
+    steps of one operator would pile up on local disks until the driver collects garbage.
+    """
     spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = shared_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

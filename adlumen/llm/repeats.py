@@ -205,7 +205,8 @@ def _repeated(state: DataFrame, level: int) -> DataFrame:
 
     given = state.select("uid", "id", f"h{level}", f"n{level}", "marks")
     places = stored(given.mapInArrow(run, T.StructType([given.schema["uid"], given.schema["id"], T.StructField("h", T.LongType())])), "repeat-places")
-    return places.join(places.transform(_first("h")), "h").groupBy("uid").agg(F.collect_list("h").alias("repeated"))
+    # as a table, so that nothing stands between the join and the exchange it may split
+    return places.join(stored(places.transform(_first("h")), "repeat-hashes"), "h").groupBy("uid").agg(F.collect_list("h").alias("repeated"))
 
 
 def _next(state: DataFrame, level: int) -> DataFrame:
@@ -288,7 +289,8 @@ def passages(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, id
     texts = texts.groupBy("uid").agg(*[F.any_value(c).alias(c) for c in ("id", "text", "marks")])
     full = stored(_last(texts, sizes), "repeat-full")
     later = F.expr("coalesce(id > first, first IS NOT NULL)")
-    starts = full.join(full.transform(_first("a", "b")), ["a", "b"]).where(later).select("uid", "at")
+    first = stored(full.transform(_first("a", "b")), "repeat-first")
+    starts = full.join(first, ["a", "b"]).where(later).select("uid", "at")
     spans = _spans(starts, window)
     return nodes.select("uid", "node", F.col("id").alias("first_id")).join(spans, "uid", "left").select("node", "first_id", "spans")
 
