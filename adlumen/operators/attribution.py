@@ -40,21 +40,21 @@ def attribute_conversions(
     """
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
     salt = F.when(known, F.lit(0)).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(_ANONYMOUS_SPLIT)))
-    window = F.lit(window_days)
-    if _OWN_WINDOW in events.columns:
-        window = F.coalesce(F.col(_OWN_WINDOW), window)
+    # a column for it only where rows differ
+    own = {"window_days": F.coalesce(F.col(_OWN_WINDOW), F.lit(window_days))} if _OWN_WINDOW in events.columns else {}
+    micros = F.col("window_days") * F.lit(_DAY_MICROS) if own else F.lit(window_days * _DAY_MICROS)
     rows = events.where(F.col("event_type").isin("impression", "click", "conversion")).select(
         "event_id", "event_type", "timestamp", "ad_id", "revenue",
         *[k for k in keys if k != "ad_id"],
         F.floor(F.unix_seconds("timestamp") / bucket_seconds).alias("bucket"),
-        salt.alias("salt"), known.alias("known"), window.alias("window_days"),
+        salt.alias("salt"), known.alias("known"), *[c.alias(name) for name, c in own.items()],
     )
 
     def latest(carried: str, here: str) -> Column:
         # touches of this bucket are later than anything carried in
         found = F.coalesce(here, carried)
         age = F.unix_micros("timestamp") - F.unix_micros(found["timestamp"])
-        return F.when(age <= F.col("window_days") * F.lit(_DAY_MICROS), found)
+        return F.when(age <= micros, found)
 
     earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

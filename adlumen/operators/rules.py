@@ -21,6 +21,7 @@ _COMPARE = {
     "contains": lambda c, v, _: c.contains(v),
     "between": lambda c, v, end: c.between(v, end),
 }
+OPERATORS = tuple(_COMPARE)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from adlumen import schemas as S
 from adlumen.functions import storage as st
@@ -99,12 +99,14 @@ def run_partitioning(
     Valid rows of every declared type are stored. Invalid rows, and rows of another day,
     go to quarantine with their errors. Without ``existing`` the whole day is replaced, so
     that nothing of an earlier run stays behind. Returns row counts per partition: all
-    landed rows against stored, quarantined and present ones.
+    landed rows against stored, quarantined and present ones. The landed rows are read
+    once: they are counted while they are staged, and the staged rows must be as many.
     """
     run = uuid.uuid4().hex
     # rules are evaluated once; everything below reads the judged rows
     staged = f"{out_root}/staging/date={day}/run={run}"
-    judged(landed, kind, day, existing).write.parquet(staged)
+    seen = Observation()
+    judged(landed.observe(seen, F.count(F.lit(1)).alias("landed")), kind, day, existing).write.parquet(staged)
     rows = spark.read.parquet(staged)
     stored = rows.where(F.col("outcome") == STORED).drop("outcome", "errors", "year", "month", "day", "hour")
 
@@ -127,8 +129,7 @@ def run_partitioning(
         kept = kept.join(existing, list(_LEVELS), "left_anti").unionByName(
             rows.where(F.col("outcome") == PRESENT).select(*_LEVELS))
     refused = spark.read.schema(rows.drop("outcome").schema).parquet(refused_root)
-    before = _counted(with_levels(
-        landed.select(F.col(kind.time).alias("timestamp"), F.col(kind.type).alias("event_type"))))
+    before = _counted(rows)
     after = _counted(kept.unionByName(refused.select(*_LEVELS)))
     # written once: the ledger and the caller both read it
     outcome = f"{out_root}/verification/date={day}/run={run}"
@@ -136,9 +137,11 @@ def run_partitioning(
     verified = spark.read.parquet(outcome)
     measures = verified.agg(
         F.count("*").alias("partitions"), F.sum("output_rows").alias("rows"),
-        F.count_if(~F.col("verified")).alias("mismatches"),
+        F.count_if(~F.col("verified")).alias("mismatches"), F.sum("input_rows").alias("landed"),
     )
-    failed = measures.head().mismatches
+    counted = measures.head()
+    failed = counted.mismatches or (counted.landed or 0) != seen.get["landed"]
+    measures = measures.drop("landed")
     tables.append_ledger(
         tables.ledger_entry(measures, "partitioning", day, recorded_at,
                             status="mismatch" if failed else "complete"), f"{out_root}/ledger")

@@ -14,6 +14,11 @@ from adlumen.schemas import HIERARCHY, METRICS
 from adlumen.sinks import tables
 
 
+#: Ads in a document of the daily job, on average, unless the caller says otherwise: a row
+#: must not grow with its advertiser.
+ADS_PER_DOCUMENT = 5_000
+
+
 def campaign_report(events: DataFrame) -> DataFrame:
     """Campaign totals with KPIs."""
     return agg.with_kpis(agg.count_events(events, "advertiser_id", "campaign_id"))
@@ -36,8 +41,8 @@ def report_metadata(totals: DataFrame, generated_at: Column, currency: str = "US
         F.col("impressions").alias("total_impressions"),
         F.col("spend").alias("total_spend"),
         F.lit(currency).alias("currency"),
-        # judged totals are final if they are valid
-        (F.col("is_valid") if "is_valid" in totals.columns else F.lit(True)).alias("is_final"),
+        F.lit(True).alias("is_final"),
+        *[c for c in ("is_valid", "errors") if c in totals.columns],  # of judged totals
     )
 
 
@@ -110,14 +115,14 @@ _KPIS = ("ctr", "cvr", "cpa", "cpc", "cpm", "roas", "ecpm")
 
 def run_daily_report(
     spark: SparkSession, events: DataFrame, day: dt.date, out_root: str, staging_root: str,
-    generated_at: dt.datetime, ads_per_document: int | None = None,
+    generated_at: dt.datetime, ads_per_document: int = ADS_PER_DOCUMENT,
 ) -> DataFrame:
     """One day's facts → roll-up, KPIs, documents, summary upsert, ledger.
 
     Returns the advertisers to notify. Facts are written once; every later step reads
     the written table instead of scanning the events again. A rerun replaces the day: ads
     and advertisers that it does not have any more vanish from all tables and documents.
-    Reports that fail validation are written as not final; nobody is notified of them.
+    Reports that fail validation carry their errors, and nobody is notified of them.
     """
     facts_root = f"{out_root}/aggregations"
     todays = events.where(F.to_date("timestamp") == F.lit(day))

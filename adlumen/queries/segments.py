@@ -10,7 +10,8 @@ from adlumen.functions.times import is_full_rebuild, lookback_start
 from adlumen.operators.joins import fold_state
 from adlumen.operators.quality import missing_values_of, segment_checks
 from adlumen.operators import sketches
-from adlumen.operators.rules import Criteria, tag_segments
+from adlumen.operators.rule_index import RuleIndex, tag_by_index
+from adlumen.operators.rules import Condition, Criteria, tag_segments
 from adlumen.plans import segments as plan
 from adlumen.queries.common import AD, USER_REFERENCE, joined, query, rounded, sql_ratio
 from adlumen.schemas import RFM_TIERS
@@ -233,6 +234,21 @@ UNION ALL SELECT user_id, 'lapsing' FROM n
 UNION ALL SELECT user_id, 'loyal_like' FROM n WHERE tier LIKE '%loyal%' AND rfm_score <> '555'
 UNION ALL SELECT user_id, 'exact_fifteen' FROM n WHERE r + f + m = 15"""
 
+
+
+@query(QUERIES)
+def segment_rule_index(spark, folder):
+    """The same rules as an index table, together with 200 bands of spending."""
+    bands = {f"band_{i:03}": Criteria("AND", (Condition("total_spend_90d", "gte", 10.0 * i), Condition("total_spend_90d", "less_than", 10.0 * (i + 1)),
+                                             Condition("impression_count_90d", "greater_than", i % 7))) for i in range(200)}
+    compiled = {name: Criteria.from_dict(spec) for name, spec in SEGMENTS.items()}
+    return tag_by_index(_tiers(spark, folder), RuleIndex.build(compiled | bands))
+
+
+SQL["segment_rule_index"] = SQL["segment_rules"] + """
+UNION ALL SELECT user_id, printf('band_%03d', i) FROM n, (SELECT unnest(range(200)) AS i)
+ WHERE total_spend_90d >= 10.0 * i AND total_spend_90d < 10.0 * (i + 1) AND impression_count_90d > i % 7"""
+
 _VECTOR = ("ctr_30d", "cvr_30d", "total_spend_90d", "engagement_score")
 
 

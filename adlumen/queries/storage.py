@@ -6,6 +6,7 @@ lines for reads of those files.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -18,7 +19,7 @@ from adlumen.queries.common import AD, ALL_AD, FILE_REFERENCE, joined, query, ro
 from adlumen.schemas import PARTITIONED_EVENT_TYPES
 from adlumen.session import shared_dir
 from adlumen.sinks import tables
-from adlumen.sources import eventlog as log, inventory
+from adlumen.sources import eventlog as log, events as sources, exports, inventory
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -511,3 +512,75 @@ def event_ages(spark, folder):
 SQL["event_ages"] = f"""WITH {FILES}
 SELECT (epoch_us({_REF} + INTERVAL 12 HOUR) - epoch_us(modified)) // 86400000000 AS age_days, count(*) AS files
 FROM files GROUP BY ALL"""
+
+
+@query(QUERIES)
+def gzip_round_trip(spark, folder):
+    """The log exported as csv and as json lines, compressed and plain, and read back with its types."""
+    events = log.table(spark, folder, "events")
+    rows = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", "props")
+    back = []
+    for fmt in ("csv", "json"):
+        for compressed in (True, False):
+            path = shared_dir(spark, f"export-{fmt}")
+            tables.export_text(rows, path, fmt, compressed)
+            read = exports.read_text_export(spark, path, rows.schema, fmt, compressed)
+            back.append(read.withColumns({"fmt": F.lit(fmt), "compressed": F.lit(compressed), "ts": F.unix_micros("ts")}))
+    return rounded(reduce(DataFrame.unionByName, back))
+
+
+SQL["gzip_round_trip"] = """SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, round(value, 6) AS value, props, fmt, compressed
+FROM events, (SELECT unnest(['csv', 'json']) AS fmt), (SELECT unnest([true, false]) AS compressed)"""
+
+
+def _stored_log(spark, folder, root):
+    """The log by day and type; returns the schema with partition levels. Hours would be a file each."""
+    levels = ["year", "month", "day", "event_type"]
+    rows = ingest.with_levels(log.all_events(spark, folder)).select("event_id", "timestamp", "user_id", "ad_id", "cost", *levels)
+    tables.write_partitioned(rows.where(F.col("event_type").isin(*PARTITIONED_EVENT_TYPES)), root, levels)
+    return rows.schema
+
+
+@query(QUERIES)
+def event_range_read(spark, folder):
+    """Ten days of clicks and conversions read back from the partitioned log."""
+    root = shared_dir(spark, "range") + "/events"
+    schema = _stored_log(spark, folder, root)
+    got = sources.read_events(spark, root, dt.date(2024, 1, 6), dt.date(2024, 1, 15), ["click", "conversion"], schema)
+    return rounded(got.select("event_id", "event_type", F.unix_micros("timestamp").alias("ts"), "day", "cost"))
+
+
+SQL["event_range_read"] = f"""WITH {ALL_AD}
+SELECT event_id, event_type, epoch_us(ts) AS ts, CAST(day(ts) AS INTEGER) AS day, round(cost, 6) AS cost
+FROM ad WHERE event_type IN ('click', 'conversion') AND CAST(ts AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-15'"""
+
+
+@query(QUERIES)
+def event_window_read(spark, folder):
+    """The 36 hours before a moment, across the edge of days."""
+    root = shared_dir(spark, "window") + "/events"
+    got = sources.read_window(spark, root, dt.datetime(2024, 1, 11, 7, 30), 36, schema=_stored_log(spark, folder, root))
+    return got.select("event_id", "event_type", F.unix_micros("timestamp").alias("ts"))
+
+
+SQL["event_window_read"] = f"""WITH {ALL_AD}
+SELECT event_id, event_type, epoch_us(ts) AS ts FROM ad WHERE event_type IN ({_TYPES})
+  AND ts >= TIMESTAMP '2024-01-11 07:30:00' - INTERVAL 36 HOUR AND ts < TIMESTAMP '2024-01-11 07:30:00'"""
+
+
+@query(QUERIES)
+def landing_day_read(spark, folder):
+    """Landed days of the log, each read in one scan with all its hours and types."""
+    root = shared_dir(spark, "landing")
+    rows = log.all_events(spark, folder).select("event_id", "event_type", "timestamp")
+    schema, parts = rows.withColumn("hour", F.lit(0)).schema, []
+    for day in (dt.date(2024, 1, 3), dt.date(2024, 1, 17)):
+        landed = rows.where(F.to_date("timestamp") == F.lit(day)).withColumn("hour", F.date_format("timestamp", "HH"))
+        landed.coalesce(1).write.partitionBy("hour", "event_type").parquet(f"{root}/{day:%Y%m%d}")
+        parts.append(sources.read_landing_day(spark, root, day, schema).withColumn("landed", F.lit(day)))
+    return reduce(DataFrame.unionByName, parts).groupBy("landed", "hour", "event_type").agg(F.count("*").alias("rows"))
+
+
+SQL["landing_day_read"] = f"""WITH {ALL_AD}
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS landed, CAST(hour(ts) AS INTEGER) AS hour, event_type, count(*) AS rows FROM ad
+WHERE CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-17') GROUP BY ALL"""

@@ -19,6 +19,8 @@ from adlumen.functions.text import metric_name
 from adlumen.functions.times import expires_at
 from adlumen.operators.windows import first_per_key
 
+#: Times in text exports; the default would cut them to milliseconds.
+EXPORT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 EVENT_LAYOUT = ["year", "month", "day", "hour", "event_type"]
 
 
@@ -192,8 +194,8 @@ def write_reports(documents: DataFrame, root: str, day: dt.date) -> None:
 
 
 def export_text(df: DataFrame, path: str, fmt: str = "csv", compressed: bool = False) -> None:
-    """Ad-hoc export as csv or json lines, optionally gzip."""
-    writer = df.write.mode("errorifexists")
+    """Ad-hoc export as csv or json lines, optionally gzip; times keep their microseconds."""
+    writer = df.write.mode("errorifexists").option("timestampFormat", EXPORT_TIME)
     if compressed:
         writer = writer.option("compression", "gzip")
     if fmt == "csv":

@@ -377,3 +377,26 @@ def test_stream_attribution_equals_the_batch_operator(spark, tmp_path):
     want = attribute_conversions(spark.createDataFrame(rows, schema), ["user_id", "ad_id"])
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     assert {r.conversion_id: r.click_ts is not None for r in got.collect()} == {4: True, 5: False, 7: False, 8: False, 9: False, 12: True, 13: False}
+
+
+def test_exports_come_back_as_they_were(spark, tmp_path):
+    from adlumen.sources.exports import read_text_export
+
+    rows = spark.createDataFrame(
+        [(1, 'a "quoted", text', dt.datetime(2024, 1, 1, 1, 2, 3, 456789), 0.1), (2, "two\nlines \\ back", None, None), (3, "", NOON, -1.5),
+         (4, None, NOON, 1e300), (None, "é 中 ;", NOON, 3.0)], "id long, text string, at timestamp, value double")
+    want = sorted(map(tuple, rows.collect()), key=str)
+    for fmt in ("csv", "json"):
+        for compressed in (True, False):
+            path = str(tmp_path / f"{fmt}-{compressed}")
+            tables.export_text(rows, path, fmt, compressed)
+            got = read_text_export(spark, path, rows.schema, fmt, compressed)
+            # csv has one form for an empty text and for none
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(
+                ((i, t or None if fmt == "csv" else t, *more) for i, t, *more in want), key=str)
+            assert read_text_export(spark, path, rows.schema, fmt).count() == 5
+            assert read_text_export(spark, path, rows.schema, fmt, not compressed).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad/x.csv").write_text("id,text,at,value\nnone,a,b,c\n")
+    with pytest.raises(Exception):
+        read_text_export(spark, str(tmp_path / "bad"), rows.schema).collect()

@@ -455,3 +455,85 @@ def test_merged_sketches_stay_within_the_bound(spark, tmp_path):
     late = sketches.rank_errors(sketches.merged_cuts(states, [0.5], "day"), df, metrics, "day").collect()
     assert len(late) == 60 and max(r.rank_error for r in late) <= sketches.RANK_ERROR
     assert sketches.quantile_states(df.limit(0), metrics, "day").count() == 0
+
+
+def _rule_users(spark):
+    import random
+
+    rng = random.Random(11)
+    rows = [(i, rng.choice([None, *range(-3, 12)]), rng.choice([None, 0.0, 0.5, 1.0, 2.5, 7.0]), rng.choice([None, "a", "ab", "b", "loyal", ""]))
+            for i in range(300)]
+    return spark.createDataFrame(rows, "user_id long, n int, x double, s string")
+
+
+def _rule_sets(n):
+    import random
+
+    from adlumen.operators.rules import Condition, Criteria
+
+    rng = random.Random(n)
+
+    def condition():
+        f = rng.choice("nxs")
+        if f == "s":
+            op = rng.choice(["equals", "not_equals", "in", "not_in", "contains"])
+            value = rng.sample(["a", "b", "ab", "loyal", "zz", ""], 2) if op in ("in", "not_in") else rng.choice(["a", "b", "oy", "ab"])
+            return Condition(f, op, value)
+        op = rng.choice(["equals", "not_equals", "greater_than", "less_than", "gte", "lte", "in", "not_in", "between"])
+        one, two = rng.randrange(-4, 12), rng.randrange(-4, 12)
+        if f == "x":
+            one = one / 2
+        return Condition(f, op, [one, two] if op in ("in", "not_in") else one, two if op == "between" else None)
+
+    def criteria(depth):
+        groups = tuple(criteria(depth - 1) for _ in range(rng.randrange(3))) if depth else ()
+        return Criteria(rng.choice(["AND", "OR"]), tuple(condition() for _ in range(rng.randrange(0 if groups else 1, 3))), groups)
+
+    out = {}
+    while len(out) < n:
+        made = criteria(2)
+        if not made.is_empty:
+            out[f"s{len(out)}"] = made
+    return out
+
+
+def test_rule_index_gives_what_compiled_rules_give(spark):
+    from adlumen.operators.rule_index import RuleIndex, tag_by_index
+    from adlumen.operators.rules import tag_segments
+
+    users, rules = _rule_users(spark), _rule_sets(60)
+    got = sorted(map(tuple, tag_by_index(users, RuleIndex.build(rules)).collect()))
+    assert got == sorted(map(tuple, tag_segments(users, rules).collect())) and len({s for _, s in got}) > 40
+    assert tag_by_index(users.limit(0), RuleIndex.build(rules)).count() == 0
+
+
+def test_rule_index_plan_does_not_grow_with_the_rules(spark):
+    from adlumen.operators.rule_index import RuleIndex, tag_by_index
+    from adlumen.operators.rules import Condition, Criteria
+
+    users = _rule_users(spark)
+
+    def bands(n):
+        return {f"b{i}": Criteria("AND", (Condition("x", "gte", i / 100), Condition("n", "less_than", i % 9))) for i in range(n)}
+
+    def branches(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("CASE WHEN"), len([x for x in plan.split("\n") if x.strip()])
+
+    small, large = (tag_by_index(users, RuleIndex.build(bands(n))) for n in (10, 1_000))
+    assert branches(small) == branches(large)
+    want = users.where("x IS NOT NULL AND n IS NOT NULL").collect()
+    assert large.count() == sum(u.x >= i / 100 and u.n < i % 9 for u in want for i in range(1_000))
+
+
+def test_rule_index_refuses_what_compiled_rules_refuse():
+    from adlumen.operators.rule_index import RuleIndex
+    from adlumen.operators.rules import Condition, Criteria
+
+    for bad in (Criteria(), Criteria("XOR", (Condition("n", "equals", 1),)), Criteria("AND", (Condition("n", "like", 1),)),
+                Criteria("AND", (Condition("n", "between", 1),))):
+        with pytest.raises(ValueError):
+            RuleIndex.build({"x": bad})
+    wide = Criteria("AND", groups=tuple(Criteria("OR", tuple(Condition("n", "equals", i) for i in range(10))) for _ in range(4)))
+    with pytest.raises(ValueError):
+        RuleIndex.build({"x": wide})

@@ -69,15 +69,15 @@ def test_report_of_a_day_without_events_leaves_nothing(spark, small, tmp_path):
         assert not [p for p in Path(root, name).rglob("*") if p.suffix in (".parquet", ".json")]
 
 
-def test_invalid_reports_are_not_final_and_not_sent(spark, small, tmp_path):
+def test_invalid_reports_are_marked_and_not_sent(spark, small, tmp_path):
     root = str(tmp_path)
     # one advertiser with more clicks than impressions
     events = log.ad_events(spark, small).withColumn(
         "event_type", F.when(F.col("advertiser_id") == 1, "click").otherwise(F.col("event_type")))
     notify = {r.advertiser_id for r in reports.run_daily_report(spark, events, DAY, root, f"{root}/staging", NOON).collect()}
-    final = {r.advertiser_id: r.is_final for r in spark.read.json(f"{root}/reports").select("advertiser_id", "is_final").collect()}
-    assert final[1] is False and 1 not in notify
-    assert {a for a, ok in final.items() if ok} >= notify and notify
+    judged = {r.advertiser_id: (r.is_valid, r.errors) for r in spark.read.json(f"{root}/reports").select("advertiser_id", "is_valid", "errors").collect()}
+    assert judged[1][0] is False and judged[1][1] and 1 not in notify
+    assert {a for a, (ok, _) in judged.items() if ok} >= notify and notify
     ledger = spark.read.parquet(f"{root}/ledger").head()
     assert ledger.metrics["reports"] - ledger.metrics["valid_reports"] >= 1
 
