@@ -16,6 +16,7 @@ import json
 from collections.abc import Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -61,6 +62,23 @@ def lookahead(merges: list[tuple[int, int, int]], size: list[int]) -> int:
     return most
 
 
+class Known(dict):
+    """Ids of pieces as packed 32-bit integers; a piece that is not remembered is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece)
+        packed = np.array(ids, dtype=np.int32).tobytes()
+        if len(ids) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Merges:
     """Vocabulary and merge list of a byte-level tokenizer file, by id."""
 
@@ -85,10 +103,14 @@ class Merges:
         for i, b in self.bytes.items():
             size[i] = len(b)
         self.reach = lookahead(by_rank, size)
+        # all tokens' bytes in a row, to gather those of many ids at once
+        self.pool = np.frombuffer(b"".join(self.bytes.get(i, b"") for i in range(len(size))), dtype=np.uint8)
+        self.size = np.array(size, dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
         self.pieces = regex.compile(PIECES).findall
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) \
             if self.special else None
-        self.known: dict[str, list[int]] = {}
+        self.known = Known(self.piece)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a short piece: apply the earliest merge, leftmost first, until none is left."""
@@ -149,39 +171,36 @@ class Merges:
             ids += done
         return ids
 
-    def plain(self, text: str, ids: list[int]) -> None:
-        known = self.known
-        for p in self.pieces(text):
-            got = known.get(p)
-            if got is None:
-                got = self.piece(p)
-                if len(got) <= SHORT:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[p] = got
-            ids += got
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        at = 0
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as packed 32-bit integers."""
+        known, parts, at = self.known.__getitem__, [], 0
         if self.marks:
             for m in self.marks.finditer(text):
-                self.plain(text[at:m.start()], ids)
-                ids.append(self.special[m.group()])
+                parts += map(known, self.pieces(text[at:m.start()]))
+                parts.append(np.int32(self.special[m.group()]).tobytes())
                 at = m.end()
-        self.plain(text[at:] if at else text, ids)
-        return ids
+        parts += map(known, self.pieces(text[at:] if at else text))
+        return b"".join(parts)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype=np.int32).tolist()
+
+    def raw(self, ids: np.ndarray) -> bytes:
+        """The bytes that ids stand for."""
+        size = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.pool[at].tobytes()
 
 
 class Decoder:
     """Ids to text, a part at a time: bytes of an unfinished character wait for the next part."""
 
     def __init__(self, merges: Merges):
-        self.of = merges.bytes.__getitem__
+        self.raw = merges.raw
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def push(self, ids: list[int], last: bool = False) -> str:
-        return self.state.decode(b"".join(map(self.of, ids)), last)
+    def push(self, ids: np.ndarray | list[int], last: bool = False) -> str:
+        return self.state.decode(self.raw(np.asarray(ids, dtype=np.int64)), last)
 
 
 def _merges(path: str) -> Merges:
@@ -189,7 +208,6 @@ def _merges(path: str) -> Merges:
 
 
 _ID = "doc_id"
-_IDS = pa.list_(pa.int32())
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,8 +223,10 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         merges = _merges(tokenizer)
         for batch in batches:
             for part in _parts(batch):
-                ids = [merges.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, _IDS)], names=[_ID, "ids"])
+                packed = [merges.packed(t or "") for t in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[_ID, "ids"])
 
     given = docs.select(F.col(id_col).alias(_ID), F.col(text_col).cast("string").alias("text"))
     return given.mapInArrow(run, T.StructType([given.schema[_ID], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
@@ -220,11 +240,12 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
         merges = _merges(tokenizer)
         for batch in batches:
             for part in _parts(batch):
-                texts = []
-                for ids in part.column(1).to_pylist():
-                    one, ids = Decoder(merges), ids or []
-                    texts.append("".join(one.push(ids[at:at + CHUNK], at + CHUNK >= len(ids))
-                                         for at in range(0, len(ids), CHUNK)))
+                texts, column = [], part.column(1)
+                values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+                for known, first, end in zip(column.is_valid().to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    one, end = Decoder(merges), end if known else first
+                    texts.append("".join(one.push(values[at:min(at + CHUNK, end)], at + CHUNK >= end)
+                                         for at in range(first, end, CHUNK)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[_ID, "ids", "text"])
 
