@@ -20,6 +20,7 @@ from adlumen.schemas import PARTITIONED_EVENT_TYPES
 from adlumen.session import shared_dir
 from adlumen.sinks import tables
 from adlumen.sources import eventlog as log, events as sources, exports, inventory
+from adlumen.sources.listing import list_files_in_tasks
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -265,6 +266,20 @@ SQL["file_inventory"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _TABLES)
 
 
+@query(QUERIES)
+def file_inventory_by_tasks(spark, folder):
+    """The same from a listing that the executors make."""
+    held = [log.table(spark, folder, t).select(F.col("_metadata.file_path").alias("url")) for t in _TABLES]
+    name = r"/([a-z_]+\.parquet(/.*)?)$"
+    rows = reduce(DataFrame.unionByName, held).groupBy(F.regexp_extract("url", name, 1).alias("file")).agg(F.count("*").alias("rows"))
+    listed = list_files_in_tasks(spark, folder).select(F.regexp_extract("path", name, 1).alias("file"))
+    return (listed.join(rows, "file", "left").groupBy(F.regexp_extract("file", r"^([a-z_]+)\.", 1).alias("table_name"))
+            .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")))
+
+
+SQL["file_inventory_by_tasks"] = SQL["file_inventory"]
+
+
 # ---- compaction --------------------------------------------------------------
 
 @query(QUERIES)

@@ -25,7 +25,7 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> Data
         .option("pathGlobFilter", f"*{suffix}")
         .load(root)
     )
-    return _shape(
+    return shaped(
         files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     )
 
@@ -33,7 +33,7 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> Data
 def from_inventory_report(report: DataFrame, bucket: str, suffix: str = "") -> DataFrame:
     """A storage-inventory report table (key, size, last_modified_date, e_tag, storage_class)."""
     rows = report.where(F.col("key").endswith(suffix)) if suffix else report
-    return _shape(rows.select(
+    return shaped(rows.select(
         st.object_uri(F.lit(bucket), F.col("key")).alias("path"),
         "size",
         F.col("last_modified_date").alias("modified"),
@@ -42,7 +42,7 @@ def from_inventory_report(report: DataFrame, bucket: str, suffix: str = "") -> D
     ))
 
 
-def _shape(files: DataFrame) -> DataFrame:
+def shaped(files: DataFrame) -> DataFrame:
     return files.withColumns({
         "prefix": st.parent_prefix(F.col("path")),
         "name": F.regexp_extract("path", "[^/]+$", 0),

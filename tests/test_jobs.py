@@ -400,3 +400,33 @@ def test_exports_come_back_as_they_were(spark, tmp_path):
     (tmp_path / "bad/x.csv").write_text("id,text,at,value\nnone,a,b,c\n")
     with pytest.raises(Exception):
         read_text_export(spark, str(tmp_path / "bad"), rows.schema).collect()
+
+
+def test_listing_by_tasks_equals_sparks_listing(spark, tmp_path):
+    from adlumen.sources import listing
+
+    root = tmp_path / "lake"
+    spark.range(60).selectExpr("id", "id % 5 AS a", "if(id % 3 = 0, NULL, concat('x y=', id % 2)) AS b").repartition(3).write.partitionBy("a", "b").parquet(str(root))
+    spark.range(3).write.parquet(str(root / "_temporary"))
+    spark.range(3).write.json(str(root / "a=1" / "other"))
+    (root / "empty" / "deep").mkdir(parents=True)
+    got, want = listing.list_files_in_tasks(spark, str(root)), inventory.list_files(spark, str(root))
+    assert got.columns == want.columns
+    rows = sorted(map(tuple, got.select("name", "size", "modified", "size_mb").collect()))
+    assert rows == sorted(map(tuple, want.select("name", "size", "modified", "size_mb").collect())) and len(rows) > 10
+    assert {r.path for r in got.collect()} == {f"file:{p}" for p in root.rglob("*.parquet") if "_temporary" not in str(p) and p.is_file()}
+    both = listing.list_files_in_tasks(spark, [str(root / "a=1"), f"file:{root}/a=2", str(tmp_path / "nothing")])
+    assert {r.path for r in both.collect()} == {r.path for r in got.collect() if "/a=1/" in r.path or "/a=2/" in r.path}
+    assert listing.list_files_in_tasks(spark, str(root), ".json").count() == len(list(root.rglob("part*.json")))
+
+
+def test_listing_hands_on_pages(monkeypatch, tmp_path):
+    import pyarrow as pa
+
+    from adlumen.sources import listing
+
+    for i in range(25):
+        (tmp_path / f"{i}.parquet").touch()
+    monkeypatch.setattr(listing, "PAGE", 10)
+    out = list(listing._listed(iter([pa.RecordBatch.from_arrays([pa.array([str(tmp_path)])], names=["path"])])))
+    assert [b.num_rows for b in out] == [10, 10, 5]
