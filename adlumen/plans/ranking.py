@@ -14,6 +14,7 @@ from adlumen.functions.decay import decayed_mean
 from adlumen.functions.rates import per_mille, ratio, smoothed_ctr, smoothed_cvr
 from adlumen.functions.times import age_hours
 from adlumen.operators.aggregate import hourly_counts
+from adlumen.operators.decay_state import RATES
 from adlumen.operators.joins import latest_by_key
 from adlumen.operators.validation import feature_rules, with_errors
 from adlumen.schemas import FEATURE_NAMES, FEATURE_VERSION
@@ -40,15 +41,10 @@ def window_counts(
         return F.expr(f"sum(if(hours_ago <= {hours}, {metric}, 0)) AS {metric}_{hours}h")
 
     age = F.expr("hours_ago - 1")
-    decayed = {
-        "ctr_decayed": "if(impressions > 0, double(clicks) / impressions, NULL)",
-        "cvr_decayed": "if(clicks > 0, double(conversions) / clicks, NULL)",
-        "ecpm_decayed": "if(impressions > 0, double(revenue) / impressions * 1000, NULL)",
-    }
     return rows.groupBy(*keys, "anchor").agg(
         *[total(m, h) for m in ("impressions", "clicks", "conversions") for h in WINDOWS],
         *[total(m, h) for m in ("revenue", "spend") for h in (1, 24)],
-        *[decayed_mean(F.expr(rate), age, half_life_hours).alias(n) for n, rate in decayed.items()],
+        *[decayed_mean(F.expr(rate), age, half_life_hours).alias(n) for n, rate in RATES.items()],
     )
 
 

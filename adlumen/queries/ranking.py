@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from adlumen.operators import decay_state as state_ops
 from adlumen.operators.aggregate import hourly_counts
 from adlumen.operators.windows import rolling_hours
 from adlumen.plans import ranking as plan
 from adlumen.queries.common import AD, COUNTS, joined, query, rounded, sql_ratio
 from adlumen.schemas import FEATURE_NAMES, FEATURE_VERSION
+from adlumen.session import shared_dir
 from adlumen.sources import eventlog as log
 
 QUERIES: dict = {}
@@ -235,3 +238,37 @@ r AS (SELECT DISTINCT ad_id, CAST(ts AS DATE) + 1 AS anchor FROM ad)
 SELECT 'v1' AS feature_version, strftime(anchor, '%Y-%m-%dT00:00:00') AS computation_hour, count(*) AS ads_count,
        strftime(anchor, '%Y-%m-%dT00:00:00') AS export_timestamp, '{",".join(FEATURE_NAMES)}' AS feature_names
 FROM r GROUP BY anchor"""
+
+
+_STEPS = (dt.datetime(2024, 1, 28), dt.datetime(2024, 1, 28, 1), dt.datetime(2024, 1, 28, 8), dt.datetime(2024, 1, 29, 2), dt.datetime(2024, 1, 30, 12))
+
+
+@query(QUERIES)
+def decayed_state(spark, folder):
+    """Decayed rates per advertiser from a state moved forward by 1, 7, 18 and 34 hours, at each of its stops."""
+    root, keys = shared_dir(spark, "decay-state"), ["advertiser_id"]
+    hourly_counts(log.ad_events(spark, folder), *keys).write.parquet(f"{root}/hourly")
+    hourly = spark.read.parquet(f"{root}/hourly")
+    states = []
+    for i, at in enumerate(_STEPS):
+        state = state_ops.advance(states[-1], hourly, keys, _STEPS[i - 1], at) if i else state_ops.start(hourly, keys, at)
+        state.write.parquet(f"{root}/state-{i}")
+        states.append(spark.read.parquet(f"{root}/state-{i}"))
+    out = reduce(DataFrame.unionByName, [state_ops.means(s, keys) for s in states])
+    return rounded(out.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd HH:mm")))
+
+
+def _decay_sql(name, value, known):
+    return (f"round(CASE WHEN count(*) FILTER ({known}) > 0 THEN sum({value} * pow(0.5, age / 6.0)) FILTER ({known}) / "
+            f"sum(pow(0.5, age / 6.0)) FILTER ({known}) ELSE 0 END, 6) AS {name}")
+
+
+SQL["decayed_state"] = f"""WITH {AD},
+h AS (SELECT advertiser_id, date_trunc('hour', ts) AS hour_start, {COUNTS} FROM ad GROUP BY ALL),
+a AS (SELECT unnest([{", ".join(f"TIMESTAMP '{t}'" for t in _STEPS)}]) AS at_),
+w AS (SELECT *, date_diff('hour', hour_start, at_) - 1 AS age FROM h, a WHERE hour_start < at_ AND hour_start >= at_ - INTERVAL 24 HOUR)
+SELECT advertiser_id, strftime(at_, '%Y-%m-%d %H:%M') AS as_of,
+  {_decay_sql('ctr_decayed', 'clicks / CAST(impressions AS DOUBLE)', 'impressions > 0')},
+  {_decay_sql('cvr_decayed', 'conversions / CAST(clicks AS DOUBLE)', 'clicks > 0')},
+  {_decay_sql('ecpm_decayed', 'revenue / CAST(impressions AS DOUBLE) * 1000', 'impressions > 0')}
+FROM w GROUP BY advertiser_id, at_"""

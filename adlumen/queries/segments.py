@@ -238,8 +238,11 @@ UNION ALL SELECT user_id, 'exact_fifteen' FROM n WHERE r + f + m = 15"""
 
 @query(QUERIES)
 def segment_rule_index(spark, folder):
-    """The same rules as an index table, together with 200 bands of spending."""
-    bands = {f"band_{i:03}": Criteria("AND", (Condition("total_spend_90d", "gte", 10.0 * i), Condition("total_spend_90d", "less_than", 10.0 * (i + 1)),
+    """The same rules as an index table, together with 200 bands of spending.
+
+    Spending is in cents, so no sum lies on an edge, whatever the order of summing.
+    """
+    bands = {f"band_{i:03}": Criteria("AND", (Condition("total_spend_90d", "gte", 10 * i + 0.005), Condition("total_spend_90d", "less_than", 10 * i + 10.005),
                                              Condition("impression_count_90d", "greater_than", i % 7))) for i in range(200)}
     compiled = {name: Criteria.from_dict(spec) for name, spec in SEGMENTS.items()}
     return tag_by_index(_tiers(spark, folder), RuleIndex.build(compiled | bands))
@@ -247,7 +250,7 @@ def segment_rule_index(spark, folder):
 
 SQL["segment_rule_index"] = SQL["segment_rules"] + """
 UNION ALL SELECT user_id, printf('band_%03d', i) FROM n, (SELECT unnest(range(200)) AS i)
- WHERE total_spend_90d >= 10.0 * i AND total_spend_90d < 10.0 * (i + 1) AND impression_count_90d > i % 7"""
+ WHERE total_spend_90d >= 10 * i + 0.005 AND total_spend_90d < 10 * i + 10.005 AND impression_count_90d > i % 7"""
 
 _VECTOR = ("ctr_30d", "cvr_30d", "total_spend_90d", "engagement_score")
 

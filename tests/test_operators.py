@@ -537,3 +537,32 @@ def test_rule_index_refuses_what_compiled_rules_refuse():
     wide = Criteria("AND", groups=tuple(Criteria("OR", tuple(Condition("n", "equals", i) for i in range(10))) for _ in range(4)))
     with pytest.raises(ValueError):
         RuleIndex.build({"x": wide})
+
+
+def test_decay_state_moves_like_a_new_start(spark):
+    import random
+
+    from adlumen.operators import decay_state
+
+    rng, begin = random.Random(2), dt.datetime(2024, 1, 1)
+    rows = [(k, begin + dt.timedelta(hours=h), rng.choice([0, 5, 9]), rng.randrange(3), rng.randrange(2), rng.random())
+            for k in (1, 2, None) for h in range(100) if rng.random() < 0.3]
+    rows.append((7, begin + dt.timedelta(hours=3), 0, 0, 0, 0.0))
+    hourly = spark.createDataFrame(rows, "ad long, hour_start timestamp, impressions long, clicks long, conversions long, revenue double")
+
+    def seen(state):
+        return {r.ad: tuple(r)[1:] for r in decay_state.means(state, ["ad"]).collect()}
+
+    at = begin + dt.timedelta(hours=10)
+    state = decay_state.start(hourly, ["ad"], at)
+    assert 7 in seen(state) and seen(state)[7][1:] == (0.0, 0.0, 0.0)
+    for hours in (0, 1, 3, 24, 30, 7):
+        new = at + dt.timedelta(hours=hours)
+        state, at = decay_state.advance(state, hourly, ["ad"], at, new), new
+        got, want = seen(state), seen(decay_state.start(hourly, ["ad"], at))
+        assert got.keys() == want.keys() and (7 in got) == (at <= begin + dt.timedelta(hours=27))
+        for k in got:
+            assert got[k][0] == want[k][0] and got[k][1:] == pytest.approx(want[k][1:], abs=1e-9)
+    with pytest.raises(ValueError):
+        decay_state.advance(state, hourly, ["ad"], at, begin)
+    assert decay_state.start(hourly.limit(0), ["ad"], at).count() == 0
