@@ -46,6 +46,16 @@ def simhash_components(docs: list[tuple[int, str | None]], size: int = 4) -> dic
     return least_reachable([d for d, _ in docs], edges)
 
 
+def jaccard_components(docs: list[tuple[int, str | None]], size: int = 5, similarity: int = 80) -> dict[int, int]:
+    sets = []
+    for _, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+        sets.append({tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    edges = [(docs[i][0], docs[j][0]) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
+             if 100 * len(a & b) >= similarity * len(a | b)]
+    return least_reachable([d for d, _ in docs], edges)
+
+
 def lines_gone(docs: list[tuple[int, str | None]], similarity: int = 80) -> set[tuple[int, int]]:
     seen, by_word, gone = [], defaultdict(list), set()
     for doc, text in sorted(docs):

@@ -24,7 +24,7 @@ def plain(folder):
     gone = brute.lines_gone(list(lines.items()))
     left = {d: brute.without_lines(d, t, gone) for d, t in lines.items()}
     left = {d: t for d, t in left.items() if t.encode().split()}
-    classes = brute.simhash_components(list(left.items()), corpus_pipeline.SHINGLE)
+    classes = brute.jaccard_components(list(left.items()), corpus_pipeline.SHINGLE)
     left = {d: t for d, t in left.items() if classes[d] == d}
     found = brute.phrases([(r["item_id"], r["text"]) for r in brute.rows(folder, "benchmark")])
     return {d: brute.cut_hits(t, h) if (h := brute.benchmark_hits(t, found)[1]) else t for d, t in left.items()}
