@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from dataclasses import dataclass
 
@@ -46,9 +47,12 @@ HELD_BACK = ["European Union Public Licence", "zlib license", "Microsoft Referen
 OPENINGS = ["{0}", "Licensed under {0}.", "Licensed under the {0}.", "Released under {0}.", "Released under the {0}.",
             "This work is licensed under the {0}.", "This work is licensed under {0}.", "Distributed under the {0}.",
             "SPDX-License-Identifier: {0}", "Code is available under the {0}, see LICENSE.", "Published under {0}"]
-#: Paragraphs (lines) without any of these cues are no notices.
-CUE = (r"(?i)licen[sc]e|copyright|permission is hereby|redistribution and use|public domain|spdx|"
-       r"creative commons|\bcc[ -]by|\bcc0\b|free software")
+#: Words of notices that are not names, and families whose versions vary.
+WORDS = [r"licen[sc]", "copyright", "permission is hereby", "redistribution and use", "without warranty", "spdx",
+         r"\bcc[ -]by", r"\bcc0\b", "free software", "unencumbered software", r"\b[al]?gpl", r"\bgnu\b"]
+#: Paragraphs (lines) without any of these words and without a name of a family are no notices.
+CUE = "(?i)" + "|".join([*WORDS, *sorted({re.escape(n).replace("\\ ", " ").replace("\\-", "-") for names, _ in FAMILIES.values()
+                                         for n in names if not re.search("|".join(WORDS), n, re.I)})])
 NONE, UNKNOWN = "none", "unknown"
 #: The sample that stands for ordinary text: so many documents at most, so many characters
 #: of each and so many lines without a cue in all. Only the fit uses it.
@@ -99,9 +103,11 @@ def train(docs: DataFrame, text_col: str = "text", negatives: int = NEGATIVE_ROW
 
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
-    sample = docs.where(text.isNotNull()).limit(NEGATIVE_DOCS).select(F.substring(text, 1, NEGATIVE_CHARS).alias("text"))
-    few = sorted({line for r in sample.select(F.explode(F.split("text", "\n")).alias("line")).where(
-        ~F.col("line").rlike(CUE) & F.col("line").rlike(r"\p{L}")).limit(negatives).collect() for line in r})
+    # the least hashes: the same rows whatever their order
+    sample = docs.where(text.isNotNull()).select(F.xxhash64(text).alias("h"), F.substring(text, 1, NEGATIVE_CHARS).alias("text"))
+    sample = sample.orderBy("h", "text").limit(NEGATIVE_DOCS)
+    lines = sample.select(F.explode(F.split("text", "\n")).alias("line")).where(~F.col("line").rlike(CUE) & F.col("line").rlike(r"\p{L}"))
+    few = sorted(r.line for r in lines.distinct().orderBy(F.xxhash64("line"), "line").limit(negatives).collect())
     classes = [*FAMILIES, UNKNOWN, NONE]
     rows = [(float(classes.index(c)), t) for c, t in examples()] + [(float(classes.index(NONE)), t) for t in few or ["."]]
     size = Counter(c for c, _ in rows)

@@ -1,6 +1,8 @@
 import math
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlumen.llm import licenses
 from adlumen.llm.queries import QUERIES
@@ -36,6 +38,23 @@ def test_scores_agree_with_plain_arithmetic(spark, model):
     assert got.best == model.classes[score.index(max(score))] == "MIT" and got.p == pytest.approx(p, rel=1e-9)
 
 
+def test_every_known_notice_reaches_the_classifier(spark, model):
+    texts = [t for _, t in licenses.examples()]
+    assert [t for t in texts if not re.search(licenses.CUE, t)] == []
+    docs = spark.createDataFrame([(i, f"Some words before.\n{t}\nAnd after.") for i, t in enumerate(
+        ["Released under GPL-3.0.", "Distributed under the Apache-2.0.", "Published under GNU GPL v3", "Released under the MPL-2.0."])],
+        "doc_id long, text string")
+    got = {(r.doc_id, r.paragraph): r.family for r in licenses.notices(docs, model).collect()}
+    assert got == {(0, 1): "GPL", (1, 1): "Apache", (2, 1): "GPL", (3, 1): "MPL"}
+
+
+def test_fit_does_not_depend_on_the_order_of_rows(spark, small, model):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    again = licenses.train(docs.orderBy(F.desc("doc_id")))
+    assert again.threshold == pytest.approx(model.threshold, rel=1e-6)
+    assert {w[0] for w in again.weights} == {w[0] for w in model.weights}
+
+
 def test_nulls_ties_long_and_empty(spark, model):
     rows = [(1, None), (2, ""), (3, "x\nReleased under the MIT License."), (3, "x\nReleased under the MIT License."), (None, "Licensed under CC BY-SA 4.0"),
             (4, "Licensed under the Foo Bar License."), (5, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
