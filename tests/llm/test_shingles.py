@@ -69,3 +69,17 @@ def test_prefix_and_parities_hold_for_similar_sets(size):
             assert np.isin(a[:shingles.prefix(len(a))], b[:shingles.prefix(len(b))]).any()
             differ = np.bitwise_count((shingles.parities(a) ^ shingles.parities(b)).view(np.uint64)).sum()
             assert 180 * differ <= 20 * (len(a) + len(b))
+
+
+def test_groups_of_packed_postings_do_not_change_the_links(spark):
+    rows = [r for r in near_copies(40) if r[1]]
+    docs = spark.createDataFrame(rows, "node long, text string")
+    one, many = (shingles.components(shingles.links(docs, 5, group=g)).collect() for g in (1 << 20, 100))
+    assert one and sorted(one) == sorted(many)
+
+
+def test_texts_with_one_common_passage_are_no_candidates(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{d}x{i}" for i in range(300)) + " " + passage for d in range(30)]
+    docs = spark.createDataFrame([*enumerate([*texts, texts[0] + " tail"])], "node long, text string")
+    assert [(r.a, r.b) for r in shingles.links(docs, 5).collect()] == [(0, 30)]
