@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlumen.functions import rfm
 from adlumen.functions.rates import ratio
+from adlumen.functions.sums import exact_sum
 from adlumen.functions.times import exact_days
 from adlumen.operators.quality import segment_checks, share_of_total
 from adlumen.operators.ranks import approximate_cuts, quantile_cuts
@@ -33,7 +34,7 @@ def user_days(events: DataFrame) -> DataFrame:
         .agg(
             *[F.count_if(kind == k).alias(f"{k}_count") for k in _KINDS],
             *[F.max(F.when(kind == k, F.col("timestamp"))).alias(f"last_{k}") for k in _KINDS],
-            F.sum("revenue").alias("spend"),
+            exact_sum(F.col("revenue")).alias("spend"),
         )
     )
 
@@ -50,19 +51,19 @@ def user_features(days: DataFrame, reference: dt.date) -> DataFrame:
     short = F.col("day") >= F.lit(reference - dt.timedelta(days=SHORT_DAYS))
     now = F.lit(reference).cast("timestamp")
 
-    def total(column: str, recent: bool) -> Column:
-        value = F.when(short, F.col(column)).otherwise(F.lit(0)) if recent else F.col(column)
-        return F.sum(value)
+    def recent(column: str) -> Column:
+        return F.when(short, F.col(column)).otherwise(F.lit(0))
 
     totals = (
         days.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(reference)))
         .groupBy("user_id")
         .agg(
             *[F.max(f"last_{k}").alias(f"last_{k}") for k in _KINDS],
-            *[total(f"{k}_count", True).alias(f"{k}_count_30d") for k in _KINDS],
-            *[total(f"{k}_count", False).alias(f"{k}_count_90d") for k in _KINDS],
-            total("spend", True).alias("total_spend_30d"),
-            total("spend", False).alias("total_spend_90d"),
+            *[F.sum(recent(f"{k}_count")).alias(f"{k}_count_30d") for k in _KINDS],
+            *[F.sum(f"{k}_count").alias(f"{k}_count_90d") for k in _KINDS],
+            # users of equal spending must lie on the same side of a limit between them
+            exact_sum(recent("spend")).alias("total_spend_30d"),
+            exact_sum(F.col("spend")).alias("total_spend_90d"),
         )
     )
     # users who never converted keep a NULL recency instead of an artificial zero
