@@ -31,7 +31,7 @@ def copies(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["memberships", "rfm_scores", "rfm_tiers", "rfm_tiers_cant_lose"])
+@pytest.mark.parametrize("name", ["memberships", "rfm_scores", "rfm_tiers", "rfm_tiers_cant_lose", "segment_rule_index"])
 def test_copies_of_a_user_are_judged_alike(spark, copies, name):
     found = {u: set() for u in range(KINDS * COPIES)}
     for r in queries()[name](spark, copies).collect():
