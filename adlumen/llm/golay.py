@@ -26,18 +26,24 @@ GROUP = 4_096
 # ---- fingerprints ---------------------------------------------------------------
 
 
-def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """A hash of each shingle in its place; a text of fewer words is one shingle, no words none."""
+def shingle_texts(text: str | None, shingle: int = SHINGLE) -> Iterator[bytes]:
+    """The shingles of a text in their places, words joined by a space; see shingle_hashes()."""
     words = (text or "").encode().lower().split()
     if not words:
-        return np.zeros(0, dtype=np.uint64)
+        return
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     last = ends[min(shingle, len(words)) - 1:].tolist()
     first = [0, *(ends[:n - 1] + 1).tolist()]
+    for a, b in zip(first, last, strict=True):
+        yield joined[a:b]
+
+
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of each shingle in its place; a text of fewer words is one shingle, no words none."""
     digest = xxhash.xxh64_intdigest
-    return np.array([digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)], dtype=np.uint64)
+    return np.array([digest(s, SEED) for s in shingle_texts(text, shingle)], dtype=np.uint64)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:

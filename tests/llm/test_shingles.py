@@ -83,3 +83,10 @@ def test_texts_with_one_common_passage_are_no_candidates(spark):
     texts = [" ".join(f"w{d}x{i}" for i in range(300)) + " " + passage for d in range(30)]
     docs = spark.createDataFrame([*enumerate([*texts, texts[0] + " tail"])], "node long, text string")
     assert [(r.a, r.b) for r in shingles.links(docs, 5).collect()] == [(0, 30)]
+
+
+def test_shingles_of_one_hash_are_not_taken_for_each_other(spark):
+    texts = ["a b c d ]j,;z)ol", "s b c d fv%@[^6:"]
+    assert golay.shingle_hashes(texts[0], 5).tolist() == golay.shingle_hashes(texts[1], 5).tolist()
+    docs = spark.createDataFrame([*enumerate(texts), (2, texts[0].upper())], "node long, text string")
+    assert [(r.a, r.b) for r in shingles.links(docs, 5).collect()] == [(0, 2)]
