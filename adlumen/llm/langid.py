@@ -11,13 +11,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from adlumen.functions.sums import exact_sum
 from adlumen.llm.common import once, small_batches, stored
 
 ORDER = 4
 #: Hash values of the stored n-grams: at most 2 ** BITS rows an order, whatever the corpus.
 BITS = 21
-#: Labelled rows, lowest hash of the id first, that fix temperature and rejection limits.
-CALIBRATION_ROWS = 2_000
+#: Temperatures that are tried.
+TEMPERATURES = np.geomspace(0.005, 2.0, 40)
 #: A document is rejected if its cross-entropy lies so many deviations above the mean of
 #: its language.
 DEVIATIONS = 4.0
@@ -247,41 +248,48 @@ def posterior(entropy: np.ndarray, temperature: float) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def calibrate(learn: DataFrame, model: dict, rows: int = CALIBRATION_ROWS) -> dict:
+def calibrate(learn: DataFrame, model: dict) -> dict:
     """Temperature of least log loss, and the rejection limit of each language.
 
-    Scores ``rows`` labelled texts at most, those of lowest hash; only their entropies
-    reach the driver.
+    All labelled texts with a letter are scored. Each task sums up what it saw; the driver
+    gets a count, two moments and a loss for each temperature of every language.
     """
     langs = model["langs"]
     model = model | {"temperature": 1.0, "limits": [math.inf] * len(langs)}
     if not langs:
         return model
     small_batches(learn.sparkSession)
-    at = F.xxhash64("doc_id", "text")
-    last = learn.select(at.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).head()[0]
     held = learn.sparkSession.sparkContext.broadcast(model)
+    width = 3 + len(TEMPERATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
+        at = {lang: i for i, lang in enumerate(scorer.langs)}
+        sums = np.zeros((len(at), width))
         for batch in batches:
             entropy, worded = scorer.entropies(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(entropy), pa.list_(pa.float64())), pa.array(worded)],
-                                             names=["lang", "entropy", "worded"])
-
-    got = (learn.where(at <= last).select("lang", "text").mapInArrow(run, "lang string, entropy array<double>, worded boolean")
-           .where("worded").limit(rows).collect())
-    if not got:
+            truth = np.array([at[x] for x in batch.column(0).to_pylist()], dtype=np.int64)[worded]
+            entropy = entropy[worded]
+            rows = np.arange(len(truth))
+            own = entropy[rows, truth]
+            seen = [np.ones(len(own)), own, own * own]
+            seen += [-np.log(np.maximum(posterior(entropy, t)[rows, truth], 1e-9)) for t in TEMPERATURES] if len(own) else [own] * len(TEMPERATURES)
+            np.add.at(sums, truth, np.array(seen).T)
+        lang, what = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(what), pa.array(sums[lang, what])], names=["lang", "what", "v"])
+
+    parts = learn.select("lang", "text").mapInArrow(run, "lang long, what long, v double")
+    sums = np.zeros((len(langs), width))
+    for r in parts.groupBy("lang", "what").agg(exact_sum(F.col("v")).alias("v")).collect():
+        sums[r.lang, r.what] = r.v
+    n = sums[:, 0]
+    if not n.any():
         return model
-    truth = np.array([langs.index(r.lang) for r in got])
-    entropy = np.array([r.entropy for r in got])
-    losses = [(float(-np.log(np.maximum(posterior(entropy, t)[np.arange(len(truth)), truth], 1e-9)).mean()), float(t))
-              for t in np.geomspace(0.005, 2.0, 40)]
-    limits = []
-    for i in range(len(langs)):
-        own = entropy[truth == i, i]
-        limits.append(float(own.mean() + DEVIATIONS * own.std()) if len(own) > 1 else math.inf)
-    return model | {"temperature": min(losses)[1], "limits": limits}
+    mean = sums[:, 1] / np.maximum(n, 1)
+    deviation = np.sqrt(np.maximum(sums[:, 2] / np.maximum(n, 1) - mean * mean, 0.0))
+    limits = np.where(n > 1, mean + DEVIATIONS * deviation, math.inf)
+    best = sums[:, 3:].sum(axis=0).argmin()
+    return model | {"temperature": float(TEMPERATURES[best]), "limits": limits.tolist()}
 
 
 _OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -327,10 +335,10 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def identify(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """Learn from the rows not held out, and predict all: predict() and held_out."""
+def identify(docs: DataFrame) -> DataFrame:
+    """Learn from all rows not held out, and predict all: predict() and held_out."""
     small_batches(docs.sparkSession)
     learn = docs.where("text IS NOT NULL AND lang IS NOT NULL").where(~held_out())
     model = train(learn.select("lang", "text"))
-    model = calibrate(learn, model, calibration_rows)
+    model = calibrate(learn, model)
     return predict(docs, model).withColumn("held_out", held_out())

@@ -57,3 +57,19 @@ def test_nulls_ties_long_and_empty(spark):
     assert langid.identify(docs.limit(0)).count() == 0
     nothing = langid.identify(docs.where("lang IS NULL")).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_every_labelled_row_counts_in_the_calibration(spark):
+    words = {"en": ["the", "cat", "house", "other"], "de": ["der", "hund", "haus", "andere"]}
+    rows = [(i, " ".join(words[lang][(i // k) % 4] for k in (1, 3, 7)) + (" zzqx" * (i % 40 == 0)), lang)
+            for i in range(2_400) for lang in [("en", "de")[i % 2]]]
+    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(learn.select("lang", "text"))
+    got = langid.calibrate(learn, model)
+    entropy, _ = langid.Scorer(model).entropies([t for _, t, _ in rows])
+    truth = np.array([model["langs"].index(lang) for *_, lang in rows])
+    for i in range(2):
+        own = entropy[truth == i, i]
+        assert abs(got["limits"][i] - own.mean() - langid.DEVIATIONS * own.std()) < 1e-9
+    losses = [-np.log(np.maximum(langid.posterior(entropy, t)[np.arange(len(truth)), truth], 1e-9)).mean() for t in langid.TEMPERATURES]
+    assert got["temperature"] == langid.TEMPERATURES[np.argmin(losses)]
