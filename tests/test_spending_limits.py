@@ -8,7 +8,7 @@ from tests.test_equal_spending import copies  # noqa: F401
 from tools.check_sql import canonical
 
 
-@pytest.mark.parametrize("name", ["rfm_scores", "rfm_tiers", "rfm_tiers_cant_lose"])
+@pytest.mark.parametrize("name", ["rfm_scores", "rfm_tiers", "rfm_tiers_cant_lose", "segment_rule_index"])
 def test_rows_of_the_sql_on_decimals(spark, copies, name):  # noqa: F811
     connection = duckdb.connect()
     connection.execute("CREATE VIEW events AS SELECT * REPLACE (CAST(value AS DECIMAL(18, 2)) AS value) "
