@@ -44,6 +44,26 @@ def text_key(id_col: str = "doc_id", text_col: str = "text"):
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def numbered(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with a long ``name`` that equal texts share and different texts never do; null is as empty.
+
+    That is a hash of the text, made zero or more. Texts that a hash does not tell apart, but
+    their SHA-256 does, have negative numbers instead, all but one of them.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    own, digest = F.xxhash64(text).bitwiseAND((1 << 63) - 1), F.unhex(F.sha2(text, 256))
+    texts = docs.select(own.alias("own"), digest.alias("digest"))
+    shared = stored(texts.groupBy("own").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+                    .where("least < most"), "shared-hashes")
+    if shared.isEmpty():
+        return docs.withColumn(name, own)
+    moved = stored(texts.join(shared, "own").where("digest > least").select("own", "digest").distinct()
+                   .withColumn("number", -1 - F.monotonically_increasing_id()), "moved-texts")
+    a, b, c = (fresh(n, [*docs.columns, name]) for n in ("own_key", "digest_key", "number_key"))
+    return (docs.withColumns({a: own, b: digest}).join(moved.toDF(a, b, c), [a, b], "left")
+            .withColumn(name, F.coalesce(c, a)).drop(a, b, c))
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """A column name that no given column has (names are compared without case)."""
     low = {t.lower() for t in taken}

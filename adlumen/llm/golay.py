@@ -8,9 +8,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from adlumen.llm.common import fresh, once, small_batches, stored
+from adlumen.llm.common import fresh, numbered, once, small_batches, stored
 from adlumen.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -18,7 +18,6 @@ SHINGLE, SEED, DISTANCE = 4, 42, 4
 LENGTH, DATA, GENERATOR = 23, 12, 0b101011100011
 #: A fingerprint's three segments (first bit, bits), each read as a word of the code.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-_LAST_ID = (1 << 63) - 1
 #: Fingerprints with one key that are compared within one group; more are split.
 GROUP = 4_096
 
@@ -59,11 +58,13 @@ def _majority(hashes: np.ndarray, block: int = 1 << 14) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (signed long) and a hash of the text of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                 check_col: str | None = None) -> DataFrame:
+    """doc_id, fingerprint (signed long) and ``check_col`` of every row, or else a hash of its text."""
     small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("check"))
+    check = F.col(check_col) if check_col else F.xxhash64(text)
+    given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), check.alias("check"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,15 +242,15 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, mark (fingerprint), check (text hash) and component_id: the smallest doc_id reachable.
+                    id_col: str = "doc_id", text_col: str = "text", check_col: str | None = None) -> DataFrame:
+    """doc_id, mark (fingerprint), check (text hash or ``check_col``) and component_id: the smallest doc_id reachable.
 
     Fingerprints within ``distance`` differing bits are linked; equal ones are one node.
     Null, empty and wordless texts have fingerprint zero and are linked like any other.
     Repeated rows stay, with the same component. A null doc_id takes part but names a
     component only if it has no other id. No rows: no output. Other columns are ignored.
     """
-    marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    marked = stored(fingerprints(docs, shingle, id_col, text_col, check_col), "fingerprints")
     nodes = marked.groupBy("mark").agg(F.min("doc_id").alias("least_id"))
     joined = components(links(nodes, distance))
     nodes = nodes.join(joined.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
@@ -262,17 +263,20 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, null ids last.
 
-    Of rows with that id the one with the smallest text hash stays, of equal rows any one.
+    Of rows with that id the one with the smallest number of its text stays, of equal rows any one.
     """
-    return first_of_each(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
-
-
-def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """one_of_each() for the components (doc_id, check, root) of ``found``."""
-    known = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID)).alias("id")
-    best = found.groupBy("root").agg(F.min(F.struct(known, F.col("check"))).alias("best"))
-    a, b = fresh("id_key", docs.columns), fresh("check_key", docs.columns)
-    best = best.select(F.col("best.id").alias(a), F.col("best.check").alias(b)).distinct()
-    keyed = docs.withColumns({a: F.coalesce(F.col(id_col), F.lit(_LAST_ID)),
-                              b: F.xxhash64(F.col(text_col).cast("string"))})
-    return keyed.join(best, [a, b], "left_semi").dropDuplicates([a, b]).drop(a, b)
+    check = fresh("text_number", docs.columns)
+    docs = numbered(docs, check, text_col)
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, check_col=check, **options)
+    return first_of_each(docs, found, id_col, check).drop(check)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, id_col: str, check_col: str) -> DataFrame:
+    """one_of_each() for the components (doc_id, check, root) of ``found``; ``check_col`` tells texts apart."""
+
+    def row(id_: str, check: str) -> Column:
+        return F.struct(F.col(id_).isNull().alias("none"), F.col(id_).alias("id"), F.col(check).alias("check"))
+
+    name = fresh("row_key", docs.columns)
+    best = found.groupBy("root").agg(F.min(row("doc_id", "check")).alias(name)).select(name)
+    return docs.withColumn(name, row(id_col, check_col)).join(best, name, "left_semi").dropDuplicates([name]).drop(name)
