@@ -1,10 +1,14 @@
 """Different texts and shingles that have one 64-bit hash are not taken for each other."""
 
+import types
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adlumen.llm import golay, shingles
+from adlumen.llm import common, golay, shingles
 from adlumen.llm.common import numbered
+from tests.llm.test_shingles import kept, near_copies
 
 #: Two texts, and shingles, of one hash.
 ONE, OTHER = "a b c d ]j,;z)ol", "s b c d fv%@[^6:"
@@ -48,3 +52,13 @@ def test_shingles_of_one_hash_within_a_text_hide_no_pair(spark):
     assert [len({*golay.shingle_hashes(t, 5).tolist()}) for t in texts] == [9, 7]
     docs = spark.createDataFrame([*enumerate(texts)], "node long, text string")
     assert [(r.a, r.b) for r in shingles.links(docs, 5).collect()] == [(0, 1)]
+
+
+def test_stage_does_not_depend_on_the_hash_of_texts(spark, small, monkeypatch):
+    coarse = types.SimpleNamespace(**vars(F) | {"xxhash64": lambda text: F.xxhash64(text).bitwiseAND(3)})
+    monkeypatch.setattr(common, "F", coarse)
+    rows = near_copies(40)
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(8)
+    numbers = {(r.text or "", r.n) for r in numbered(docs, "n").collect()}
+    assert len(numbers) == len({t for t, _ in numbers}) == len({n for _, n in numbers}) and sum(n >= 0 for _, n in numbers) == 4
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, small).collect()) == sorted(kept(rows))
