@@ -1,5 +1,6 @@
 """Different texts and shingles that have one 64-bit hash are not taken for each other."""
 
+import random
 import types
 
 import pytest
@@ -62,3 +63,18 @@ def test_stage_does_not_depend_on_the_hash_of_texts(spark, small, monkeypatch):
     numbers = {(r.text or "", r.n) for r in numbered(docs, "n").collect()}
     assert len(numbers) == len({t for t, _ in numbers}) == len({n for _, n in numbers}) and sum(n >= 0 for _, n in numbers) == 4
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, small).collect()) == sorted(kept(rows))
+
+
+def test_shared_keys_tell_similar_sets_even_if_most_hashes_are_shared(spark):
+    rng, rows = random.Random(2), []
+    while len(rows) < 600:
+        a = set(rng.sample(range(10_000), rng.choice([5, 10, 40])))
+        b = set(rng.sample(sorted(a), rng.randrange(len(a) * 4 // 5, len(a) + 1))) | set(rng.sample(range(10_000), rng.randrange(len(a) // 8 + 1)))
+        if shingles.alike(a, b):
+            some = rng.choice([1, 2, 5, 30])
+            heads = [sorted({v % some for v in s})[:shingles.prefix(len(s))] for s in (a, b)]
+            lost = max(shingles.prefix(len(s)) - len({v % some for v in s}) for s in (a, b))
+            rows.append((len(set(heads[0]) & set(heads[1])), len(a), len(b), max(0, lost)))
+    pairs = spark.createDataFrame(rows, "n long, x long, y long, lost long")
+    assert pairs.where("n > 0").where(shingles._enough("n + lost", "x", "y", 80)).count() == len(rows)
+    assert pairs.where(shingles._enough("n", "x", "y", 80)).count() < len(rows)
